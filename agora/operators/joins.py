@@ -1,0 +1,42 @@
+"""Join helpers for star schemas (J1-J6).
+
+Broadcasting is only forced for sides whose size is proven: literal
+dimensions (a fixed number of rows) or a side that passed a bounded row
+count.  Otherwise the join is left to Spark: the planner broadcasts from
+table statistics under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+re-plans from runtime sizes, splitting skewed partitions when needed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound on rows of a dimension we are willing to broadcast.
+DEFAULT_BROADCAST_ROWS = 500_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows of the (small) side; past
+    the bound the plain DataFrame is returned and Spark picks a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def literal_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a dimension built from literal rows (size fixed by construction)."""
+    return F.broadcast(df)
+
+
+def lookup(df: DataFrame, dim: DataFrame, left_key: Column, right_key: str,
+           value: str, out: str, default=None, how: str = "left") -> DataFrame:
+    """Left lookup ``df -> dim`` on ``left_key = dim[right_key]`` adding
+    ``dim[value]`` as ``out``; unmatched rows get ``default`` (COALESCE)."""
+    k, v = "__agora_lk", "__agora_lv"
+    right = dim.select(F.col(right_key).alias(k), F.col(value).alias(v))
+    joined = df.join(right, left_key == F.col(k), how).drop(k)
+    val = F.col(v) if default is None else F.coalesce(F.col(v), F.lit(default))
+    return joined.withColumn(out, val).drop(v)

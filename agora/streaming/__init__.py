@@ -1,0 +1,5 @@
+"""Streaming: nothing to stream.
+
+The source pipeline has no stream, watermark, window or state: its
+ingestion is a nightly batch.  This package is kept empty on purpose.
+"""
