@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agora.functions.clean import clean_double, clean_int, ratio_if_positive
+from agora.functions.clean import clean_double, clean_int
 from agora.operators.keys import dense_key
 from agora.operators.quality import evaluate_rules, fail_count, quality_summary
 from agora.operators.reshape import with_provenance
@@ -25,6 +25,7 @@ from agora.operators.scoring import (LinearModel, dummy_name, expand_candidates,
 from agora.plans import bronze, gold, governance
 from agora.plans import inputs as I
 from agora.sources.ingest import ingest_summary as _ingest_summary, landing_report
+from agora.plans.features import build_feature_mart
 from agora.sources.raw import read_testdata
 
 LOAD_TS = _dt.datetime(2026, 1, 1, 2, 0, 0)
@@ -32,6 +33,31 @@ END_TS = _dt.datetime(2026, 1, 1, 2, 30, 0)
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+class Build:
+    """One query's build context: every intermediate table is defined once
+    and reused by the plans that need it (one checkpointed dimension, not
+    one per fact)."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+        self._memo: dict[str, DataFrame] = {}
+
+    def get(self, name: str, maker):
+        if name not in self._memo:
+            self._memo[name] = maker(self)
+        return self._memo[name]
+
+
+def _memo(fn):
+    """Decorate ``fn(b: Build)``; callable as ``fn(spark, sf)`` or ``fn(build)``."""
+    def wrapper(*args):
+        b = args[0] if isinstance(args[0], Build) else Build(args[0], args[1])
+        return b.get(fn.__name__, fn)
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def _r6(df: DataFrame) -> DataFrame:
     """Round every double column to 6 digits; drop timestamp columns."""
     cols = []
@@ -66,102 +92,123 @@ def q_clean_int(spark, sf):
         F.max(v).alias("max_i"))
 
 
-# B1 --------------------------------------------------------------------------
-def association_raw(spark, sf) -> list[DataFrame]:
-    orders = read_testdata(spark, sf, "orders")
-    return [orders.where(F.col("o_orderpriority").isin([p.strip("'") for p in branch]))
-                  .selectExpr(*I.ASSOC_ITEMS[:2]) for branch in I.ASSOC_BRANCHES]
+# Bronze builders ---------------------------------------------------------------
+@_memo
+def associations(b):
+    """B1 over three 'files' (orders split by priority), UNION ALL."""
+    orders = read_testdata(b.spark, b.sf, "orders")
+    files = [orders.where(F.col("o_orderpriority").isin([p.strip("'") for p in branch]))
+                   .selectExpr(*I.ASSOC_ITEMS[:2]) for branch in I.ASSOC_BRANCHES]
+    return bronze.association_counts(files, prefixes=I.ASSOC_PREFIXES, active=I.ASSOC_ACTIVE)
 
 
-def associations(spark, sf):
-    return bronze.association_counts(association_raw(spark, sf), prefixes=I.ASSOC_PREFIXES,
-                                     active=I.ASSOC_ACTIVE)
+@_memo
+def crime(b):
+    raw = I.EVENTS_CRIME.frame(b.spark, b.sf)
+    return bronze.crime_pivot(raw, year_value=I.CRIME_YEAR, prefixes=I.CRIME_PREFIXES,
+                              indicators=I.CRIME_INDICATORS)
 
 
-def q_union_filter_count(spark, sf):
-    return associations(spark, sf)
+@_memo
+def crime_patched(b):
+    df = with_provenance(crime(b), I.CRIME_SOURCE, LOAD_TS)
+    return bronze.patch_missing(df, key_value=I.PATCH_CODE, load_ts=LOAD_TS)
 
 
-# B2 / B2p / B3 ---------------------------------------------------------------
-def crime(spark, sf):
-    raw = I.EVENTS_CRIME.frame(spark, sf)
-    return bronze.crime_pivot(raw, year_value=I.CRIME_YEAR, prefixes=I.CRIME_PREFIXES,
-                              indicators=I.CRIME_INDICATORS)
+@_memo
+def crime_clean(b):
+    return bronze.neutral_fill(crime_patched(b))
 
 
-def crime_patched(spark, sf):
-    df = with_provenance(crime(spark, sf), I.CRIME_SOURCE, LOAD_TS)
-    return bronze.patch_missing(df, key_value=I.PATCH_CODE, load_ts=LOAD_TS)
+@_memo
+def socio(b):
+    raw = I.CUSTOMER_SOCIO.frame(b.spark, b.sf)
+    return with_provenance(bronze.socio_clean(raw, prefixes=I.SOCIO_PREFIXES), I.SOCIO_SOURCE, LOAD_TS)
 
 
-def crime_clean(spark, sf):
-    return bronze.neutral_fill(crime_patched(spark, sf))
+@_memo
+def elections(b):
+    raw = I.LINEITEM_ELECTIONS.frame(b.spark, b.sf)
+    return with_provenance(bronze.participation(raw, prefixes=I.ELECTION_PREFIXES),
+                           I.ELECTIONS_SOURCE, LOAD_TS)
 
 
-def q_pivot_indicators(spark, sf):
-    return _r6(crime(spark, sf))
+@_memo
+def candidates_pct(b):
+    raw = I.ORDERS_CANDIDATES.frame(b.spark, b.sf)
+    return with_provenance(bronze.candidate_shares(raw, departments=I.CANDIDATE_DEPARTMENTS),
+                           I.CANDIDATES_SOURCE, LOAD_TS)
 
 
-def q_manual_patch(spark, sf):
-    return _r6(crime_patched(spark, sf))
+# Gold builders -----------------------------------------------------------------
+@_memo
+def communes(b):
+    labels = I.ORDERS_LABELS.frame(b.spark, b.sf).where(F.col("o_orderpriority") == I.LABEL_PRIORITY)
+    return gold.dim_commune(I.CUSTOMER_COMMUNES.frame(b.spark, b.sf), labels, LOAD_TS)
 
 
-def q_null_to_zero(spark, sf):
-    return _r6(crime_clean(spark, sf))
+@_memo
+def segment_candidates(b):
+    cust = read_testdata(b.spark, b.sf, "customer").where(F.col("c_mktsegment") != I.SEGMENT_EXCLUDED)
+    return gold.reference_dimension(cust.select(F.col("c_mktsegment").alias("nom")), "nom", "id_candidat",
+                                    unknown=I.UNKNOWN_CANDIDATE, load_ts=LOAD_TS)
 
 
-# B4 --------------------------------------------------------------------------
-def socio(spark, sf):
-    raw = I.CUSTOMER_SOCIO.frame(spark, sf)
-    return with_provenance(bronze.socio_clean(raw, prefixes=I.SOCIO_PREFIXES), I.SOCIO_SOURCE, LOAD_TS)
+@_memo
+def results(b):
+    return gold.fact_resultats(candidates_pct(b), communes(b), segment_candidates(b), LOAD_TS,
+                               tiebreak=["nom", "prenom", "code_departement", "libelle_departement",
+                                         "libelle_commune"])
 
 
-def q_wide_clean(spark, sf):
-    return _r6(socio(spark, sf))
+@_memo
+def participation(b):
+    return gold.fact_participation(elections(b), communes(b), LOAD_TS,
+                                   tiebreak=["code_departement", "libelle_departement", "libelle_commune"])
 
 
-# B5 --------------------------------------------------------------------------
-def elections(spark, sf):
-    raw = I.LINEITEM_ELECTIONS.frame(spark, sf)
-    return with_provenance(bronze.participation(raw, prefixes=I.ELECTION_PREFIXES),
-                           I.ELECTIONS_SOURCE, LOAD_TS)
+@_memo
+def population(b):
+    return gold.fact_population(socio(b), communes(b), LOAD_TS)
 
 
-def q_participation_ratios(spark, sf):
-    return _r6(elections(spark, sf))
+@_memo
+def income(b):
+    return gold.fact_revenu(socio(b), communes(b), LOAD_TS)
 
 
-# B6 --------------------------------------------------------------------------
-def candidates_pct(spark, sf):
-    raw = I.ORDERS_CANDIDATES.frame(spark, sf)
-    return with_provenance(bronze.candidate_shares(raw, departments=I.CANDIDATE_DEPARTMENTS),
-                           I.CANDIDATES_SOURCE, LOAD_TS)
+@_memo
+def economy(b):
+    return gold.fact_economie(socio(b), communes(b), associations(b), LOAD_TS)
+
+
+@_memo
+def housing(b):
+    return gold.fact_logement(socio(b), communes(b), LOAD_TS)
+
 
+@_memo
+def security(b):
+    return gold.fact_securite(crime_clean(b), communes(b), LOAD_TS)
 
-def q_share_of_partition(spark, sf):
-    return _r6(candidates_pct(spark, sf))
+
+def _q(builder):
+    def run(spark, sf):
+        return _r6(builder(Build(spark, sf)))
+    run.__name__ = f"q_{builder.__name__}"
+    return run
 
 
-# W3 --------------------------------------------------------------------------
+# W3 / G1 / G3-G7 ---------------------------------------------------------------
 def q_surrogate_key(spark, sf):
     orders = read_testdata(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return dense_key(orders, ["o_custkey", "o_orderkey"], "id")
 
 
-# G1 / G2 / G3-G7 -------------------------------------------------------------
 def q_dim_calendar(spark, sf):
     return gold.dim_temps_from(read_testdata(spark, sf, "orders"), "o_orderdate")
 
 
-def communes(spark, sf):
-    labels = I.ORDERS_LABELS.frame(spark, sf).where(F.col("o_orderpriority") == I.LABEL_PRIORITY)
-    return gold.dim_commune(I.CUSTOMER_COMMUNES.frame(spark, sf), labels, LOAD_TS)
-
-
-def q_dim_snapshot(spark, sf):
-    return _r6(communes(spark, sf))
-
-
 def q_dim_reference(spark, sf):
     region = read_testdata(spark, sf, "region")
     nation = read_testdata(spark, sf, "nation")
@@ -169,94 +216,24 @@ def q_dim_reference(spark, sf):
     pairs = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_name", "r_name")
     cands = gold.reference_dimension(pairs, "n_name", "id_candidat", parent_col="r_name",
                                      unknown=(0, "APPLICABLE", "NA"), load_ts=LOAD_TS)
+    # both sides are bounded by the (tiny) region and nation tables
     p = F.broadcast(parties.select(F.col("r_name").alias("__p_name"), F.col("id_parti").alias("fk_parti")))
     out = cands.join(p, cands.r_name == F.col("__p_name"), "left")
     return out.select("id_candidat", F.col("n_name").alias("nom"), "fk_parti",
                       F.col("r_name").alias("famille_politique"), "is_current")
 
 
-def segment_candidates(spark, sf):
-    cust = read_testdata(spark, sf, "customer").where(F.col("c_mktsegment") != I.SEGMENT_EXCLUDED)
-    dim = gold.reference_dimension(cust.select(F.col("c_mktsegment").alias("nom")), "nom", "id_candidat",
-                                   unknown=I.UNKNOWN_CANDIDATE, load_ts=LOAD_TS)
-    return dim
-
-
-# Facts -----------------------------------------------------------------------
-def results(spark, sf):
-    return gold.fact_resultats(candidates_pct(spark, sf), communes(spark, sf),
-                               segment_candidates(spark, sf), LOAD_TS,
-                               tiebreak=["nom", "prenom", "code_departement", "libelle_departement",
-                                         "libelle_commune"])
-
-
-def participation(spark, sf):
-    return gold.fact_participation(elections(spark, sf), communes(spark, sf), LOAD_TS,
-                                   tiebreak=["code_departement", "libelle_departement", "libelle_commune"])
-
-
-def population(spark, sf, dim=None):
-    return gold.fact_population(socio(spark, sf), dim or communes(spark, sf), LOAD_TS)
-
-
-def income(spark, sf, dim=None):
-    return gold.fact_revenu(socio(spark, sf), dim or communes(spark, sf), LOAD_TS)
-
-
-def economy(spark, sf, dim=None):
-    return gold.fact_economie(socio(spark, sf), dim or communes(spark, sf), associations(spark, sf), LOAD_TS)
-
-
-def housing(spark, sf, dim=None):
-    return gold.fact_logement(socio(spark, sf), dim or communes(spark, sf), LOAD_TS)
-
-
-def security(spark, sf, dim=None):
-    return gold.fact_securite(crime_clean(spark, sf), dim or communes(spark, sf), LOAD_TS)
-
-
-def q_fact_results(spark, sf):
-    return _r6(results(spark, sf))
-
-
-def q_fact_participation(spark, sf):
-    return _r6(participation(spark, sf))
-
-
-def q_fact_population(spark, sf):
-    return _r6(population(spark, sf))
-
-
-def q_fact_income(spark, sf):
-    return _r6(income(spark, sf))
-
-
-def q_fact_economy(spark, sf):
-    return _r6(economy(spark, sf))
-
-
-def q_fact_security(spark, sf):
-    return _r6(security(spark, sf))
-
-
-def q_fact_housing(spark, sf):
-    return _r6(housing(spark, sf))
-
-
-# Quality rules ---------------------------------------------------------------
-def quality_tables(spark, sf) -> dict[str, DataFrame]:
-    dim = communes(spark, sf)
-    return {
-        "criminalite_commune_clean": crime_clean(spark, sf),
-        "socio_demo_communes": socio(spark, sf),
-        "elections_communes": elections(spark, sf),
-        "FACT_RESULTATS_ELECTORAUX": results(spark, sf),
-        "FACT_PARTICIPATION_ELECTORALE": participation(spark, sf),
-        "FACT_REVENU": income(spark, sf, dim),
-        "DIM_COMMUNE": dim,
-        "FACT_ECONOMIE_LOCALE": economy(spark, sf, dim),
-    }
-
+# Quality rules -----------------------------------------------------------------
+TABLE_BUILDERS = {
+    "criminalite_commune_clean": crime_clean,
+    "socio_demo_communes": socio,
+    "elections_communes": elections,
+    "FACT_RESULTATS_ELECTORAUX": results,
+    "FACT_PARTICIPATION_ELECTORALE": participation,
+    "FACT_REVENU": income,
+    "DIM_COMMUNE": communes,
+    "FACT_ECONOMIE_LOCALE": economy,
+}
 
 QC_GROUPS = {
     "qc_not_null": [1, 4, 7, 10, 15],
@@ -278,34 +255,21 @@ def _rules(ids):
     return [by_id[i] for i in ids]
 
 
-def _needed_tables(spark, sf, ids):
+def _log(b, ids):
     names = {governance.TABLE_OF[r.table_name] for r in _rules(ids)}
-    makers = {
-        "criminalite_commune_clean": lambda: crime_clean(spark, sf),
-        "socio_demo_communes": lambda: socio(spark, sf),
-        "elections_communes": lambda: elections(spark, sf),
-        "FACT_RESULTATS_ELECTORAUX": lambda: results(spark, sf),
-        "FACT_PARTICIPATION_ELECTORALE": lambda: participation(spark, sf),
-        "FACT_REVENU": lambda: income(spark, sf),
-        "DIM_COMMUNE": lambda: communes(spark, sf),
-        "FACT_ECONOMIE_LOCALE": lambda: economy(spark, sf),
-    }
-    return {n: makers[n]() for n in names}
+    tables = {n: TABLE_BUILDERS[n](b) for n in names}
+    return governance.run_quality(tables, _rules(ids), LOAD_TS)
 
 
 def qc(ids):
     def run(spark, sf):
-        log = governance.run_quality(_needed_tables(spark, sf, ids), _rules(ids), LOAD_TS)
-        return _r6(log)
+        return _r6(_log(Build(spark, sf), ids))
     return run
 
 
-def suite(spark, sf):
-    return governance.run_quality(quality_tables(spark, sf), governance.RULES, LOAD_TS)
-
-
-def q_qc_suite(spark, sf):
-    return _r6(suite(spark, sf))
+@_memo
+def suite(b):
+    return _log(b, [r.id_check for r in governance.RULES])
 
 
 def q_qc_empty(spark, sf):
@@ -323,17 +287,16 @@ def q_qc_fail_count(spark, sf):
     return fail_count(suite(spark, sf))
 
 
-# Audit -----------------------------------------------------------------------
-def audit(spark, sf):
-    raw = I.CUSTOMER_SOCIO.frame(spark, sf)
-    so = socio(spark, sf)
-    pop = population(spark, sf)
-    return governance.audit_with_counts(spark, LOAD_TS, END_TS, [(raw, so), (so, pop)])
+# Audit -------------------------------------------------------------------------
+@_memo
+def audit(b):
+    raw = I.CUSTOMER_SOCIO.frame(b.spark, b.sf)
+    return governance.audit_with_counts(b.spark, LOAD_TS, END_TS,
+                                        [(raw, socio(b)), (socio(b), population(b))])
 
 
 def q_audit_log(spark, sf):
-    a = audit(spark, sf)
-    return a.withColumn("date_chargement", F.date_format("date_chargement", TS_FORMAT))
+    return audit(spark, sf).withColumn("date_chargement", F.date_format("date_chargement", TS_FORMAT))
 
 
 def q_load_history(spark, sf):
@@ -341,12 +304,13 @@ def q_load_history(spark, sf):
     return h.withColumn("date_chargement", F.date_format("date_chargement", TS_FORMAT))
 
 
-# Ingest ----------------------------------------------------------------------
-def landing(spark, sf):
-    manifest = I.PAGES_MANIFEST.frame(spark, sf)
-    landed = I.PAGES_LANDED.frame(spark, sf).where(F.col("length") > 0)
+# Ingest ------------------------------------------------------------------------
+@_memo
+def landing(b):
+    manifest = I.PAGES_MANIFEST.frame(b.spark, b.sf)
+    landed = I.PAGES_LANDED.frame(b.spark, b.sf).where(F.col("length") > 0)
     return landing_report(manifest, landed, bucket=I.BUCKET, prefix=I.RAW_PREFIX,
-                          landed_key="url", manifest_key="url")
+                          landed_key="url", manifest_key="url", uploaded_at=END_TS)
 
 
 def q_ingest_manifest(spark, sf):
@@ -357,21 +321,11 @@ def q_ingest_summary(spark, sf):
     return _ingest_summary(landing(spark, sf))
 
 
-# Features and scoring --------------------------------------------------------
-def feature_mart(spark, sf):
-    dim = communes(spark, sf)
-    pop = population(spark, sf, dim)
-    inc = income(spark, sf, dim)
-    eco = economy(spark, sf, dim)
-    hou = housing(spark, sf, dim)
-    sec = security(spark, sf, dim)
-    par = participation(spark, sf)
-    from agora.plans.features import build_feature_mart
-    return build_feature_mart(dim, pop, inc, eco, hou, par, sec)
-
-
-def q_feature_mart(spark, sf):
-    return _r6(feature_mart(spark, sf))
+# Features and scoring ----------------------------------------------------------
+@_memo
+def feature_mart(b):
+    return build_feature_mart(communes(b), population(b), income(b), economy(b), housing(b),
+                              participation(b), security(b))
 
 
 # Fixed model weights (the fitted model is not part of the source material).
@@ -390,8 +344,9 @@ MODEL = LinearModel(
     })
 
 
-def scenarios(spark, sf):
-    return feature_mart(spark, sf).fillna(0.0, subset=SCENARIO_FEATURES)
+@_memo
+def scenarios(b):
+    return feature_mart(b).fillna(0.0, subset=SCENARIO_FEATURES)
 
 
 def q_one_hot_align(spark, sf):
@@ -418,34 +373,34 @@ def q_predict_winner(spark, sf):
 QUERIES = {
     "clean_double": q_clean_double,
     "clean_int": q_clean_int,
-    "wide_clean": q_wide_clean,
-    "union_filter_count": q_union_filter_count,
-    "pivot_indicators": q_pivot_indicators,
-    "manual_patch": q_manual_patch,
-    "null_to_zero": q_null_to_zero,
-    "participation_ratios": q_participation_ratios,
-    "share_of_partition": q_share_of_partition,
+    "wide_clean": _q(socio),
+    "union_filter_count": _q(associations),
+    "pivot_indicators": _q(crime),
+    "manual_patch": _q(crime_patched),
+    "null_to_zero": _q(crime_clean),
+    "participation_ratios": _q(elections),
+    "share_of_partition": _q(candidates_pct),
     "surrogate_key": q_surrogate_key,
     "dim_calendar": q_dim_calendar,
     "dim_reference": q_dim_reference,
-    "dim_snapshot": q_dim_snapshot,
-    "fact_results": q_fact_results,
-    "fact_participation": q_fact_participation,
-    "fact_population": q_fact_population,
-    "fact_income": q_fact_income,
-    "fact_economy": q_fact_economy,
-    "fact_security": q_fact_security,
-    "fact_housing": q_fact_housing,
+    "dim_snapshot": _q(communes),
+    "fact_results": _q(results),
+    "fact_participation": _q(participation),
+    "fact_population": _q(population),
+    "fact_income": _q(income),
+    "fact_economy": _q(economy),
+    "fact_security": _q(security),
+    "fact_housing": _q(housing),
     **{name: qc(ids) for name, ids in QC_GROUPS.items()},
     "qc_empty": q_qc_empty,
-    "qc_suite": q_qc_suite,
+    "qc_suite": _q(suite),
     "qc_summary": q_qc_summary,
     "qc_fail_count": q_qc_fail_count,
     "audit_log": q_audit_log,
     "load_history": q_load_history,
     "ingest_manifest": q_ingest_manifest,
     "ingest_summary": q_ingest_summary,
-    "feature_mart": q_feature_mart,
+    "feature_mart": _q(feature_mart),
     "one_hot_align": q_one_hot_align,
     "predict_scores": q_predict_scores,
     "vote_allocation": q_vote_allocation,
