@@ -4,9 +4,12 @@ A plain global window sends every row to one partition.  Here the rows
 are range-partitioned on the full order key (Spark samples the key, so a
 hot leading value is split by the following columns), sorted inside each
 partition, and the per-partition row counts give each partition its
-offset.  The layout is frozen with a reliable ``checkpoint()`` so the
-count pass and the numbering pass see the same partitions even if
-executors are lost in between.
+offset.  The layout is frozen by writing it once, partition id and
+local index included, as a Parquet table under the shared folder named
+by ``spark.checkpoint.dir``: the count pass and the numbering pass read
+the same rows even if executors are lost in between, and the input plan
+is computed only once (a reliable ``checkpoint()`` would compute it a
+second time to write it).
 
 Order keys should be unique (add tie-breakers); with residual ties the
 numbering among fully identical rows is arbitrary, exactly as for
@@ -20,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+import uuid
+
 from agora.session import ensure_checkpoint_dir
 
 _PID = "__agora_pid"
@@ -42,15 +47,14 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str,
     expressions such as ``F.col("x").desc_nulls_last()``.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = _ordered(order_by)
     laid_out = (df.repartitionByRange(n, *ordered)
                   .sortWithinPartitions(*ordered)
                   .withColumn(_PID, F.spark_partition_id())
                   .withColumn(_MID, F.monotonically_increasing_id()))
-    # Freeze the range layout: reliable checkpoint into the shared folder.
-    frozen = laid_out.checkpoint(eager=True)
+    # Freeze the range layout: one write into the shared checkpoint folder.
+    frozen = freeze(laid_out)
     # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = (frozen.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
                      .withColumn(_OFF, F.coalesce(
@@ -68,3 +72,17 @@ def small_dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str)
     (literal dimensions, code lists)."""
     w = Window.orderBy(*_ordered(order_by))
     return df.withColumn(name, F.row_number().over(w).cast("long"))
+
+
+def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
+    """Write ``df`` once under ``spark.checkpoint.dir`` and read it back.
+
+    This cuts the lineage like a reliable checkpoint (the files live in the
+    cluster's shared folder, so losing an executor loses nothing) and
+    computes the input a single time.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/agora-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -146,34 +146,43 @@ def predict_scores(scenarios: DataFrame, model: LinearModel, id_col: str = "comm
     return scenarios.select(id_col, F.inline(arr))
 
 
-def allocate(arr: Column, population: Column) -> Column:
-    """Votes per candidate: ``round_half_even(score / sum(scores) * population)``;
-    the sum uses the rounded scores; a zero sum gives NULL votes."""
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x["score_brut_modele"])
-    return F.transform(arr, lambda x: x.withField(
+def _allocated(scenarios: DataFrame, model: LinearModel, id_col: str, population: str, **kw) -> DataFrame:
+    """Scenario rows with ``__c``: the candidates' scores and predicted votes.
+
+    Votes per candidate are ``round_half_even(score / sum(scores) * population)``;
+    the sum uses the rounded scores (NULL scores count as 0); a zero sum
+    gives NULL votes.  Each step is its own projection so the score
+    expressions are evaluated once per row, not once per lambda call.
+    """
+    c = F.col("__c")
+    df = scenarios.select(id_col, F.col(population).cast("double").alias("__pop"),
+                          candidate_scores(scenarios, model, **kw).alias("__c"))
+    df = df.withColumn("__total", F.aggregate(
+        c, F.lit(0.0), lambda acc, x: acc + F.coalesce(x["score_brut_modele"], F.lit(0.0))))
+    return df.withColumn("__c", F.transform(c, lambda x: x.withField(
         "voix_predites_estimees",
-        F.bround(F.try_divide(x["score_brut_modele"], total) * population.cast("double"), 0).cast("long")))
+        F.bround(F.try_divide(x["score_brut_modele"], F.col("__total")) * F.col("__pop"), 0).cast("long"))))
 
 
 def vote_allocation(scenarios: DataFrame, model: LinearModel, id_col: str = "commune",
                     population: str = "population_totale_2022", **kw) -> DataFrame:
-    arr = allocate(candidate_scores(scenarios, model, **kw), F.col(population))
-    return scenarios.select(id_col, F.inline(arr))
+    """One row per scenario and candidate with score and predicted votes."""
+    return _allocated(scenarios, model, id_col, population, **kw).select(id_col, F.inline("__c"))
 
 
 def ranking(scenarios: DataFrame, model: LinearModel, id_col: str = "commune",
             population: str = "population_totale_2022", **kw) -> DataFrame:
     """Candidates by predicted votes, descending; ties keep list order
     (stable sort); NULL votes last.  ``rang`` starts at 1."""
-    arr = allocate(candidate_scores(scenarios, model, **kw), F.col(population))
-    keyed = F.transform(arr, lambda x: F.struct(
+    df = _allocated(scenarios, model, id_col, population, **kw)
+    keyed = F.transform(F.col("__c"), lambda x: F.struct(
         x["voix_predites_estimees"].isNull().alias("k0"),
         (-x["voix_predites_estimees"]).alias("k1"),
         x["ordinal"].alias("k2"),
         x.alias("v")))
     ordered = F.transform(F.sort_array(keyed), lambda s: s["v"])
-    return (scenarios.select(id_col, F.posexplode(ordered).alias("pos", "c"))
-                     .select(id_col, (F.col("pos") + 1).alias("rang"), "c.*"))
+    return (df.select(id_col, F.posexplode(ordered).alias("pos", "c"))
+              .select(id_col, (F.col("pos") + 1).alias("rang"), "c.*"))
 
 
 def winners(ranked: DataFrame, id_col: str = "commune") -> DataFrame:

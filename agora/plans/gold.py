@@ -237,8 +237,13 @@ def _current(dim: DataFrame, code: str, key: str, bound: int | None) -> DataFram
 
 
 def join_current_commune(df: DataFrame, dim: DataFrame, code: str = "code_commune",
-                         broadcast_rows: int | None = 500_000) -> DataFrame:
-    """Inner join to the current commune rows; adds ``__dim_key`` (id_commune)."""
+                         broadcast_rows: int | None = None) -> DataFrame:
+    """Inner join to the current commune rows; adds ``__dim_key`` (id_commune).
+
+    The dimension comes out of ``dense_key`` as a written table, so the
+    planner knows its on-disk size and broadcasts it only below
+    ``spark.sql.autoBroadcastJoinThreshold`` (a shuffle join otherwise).
+    ``broadcast_rows`` forces a bounded-count check instead."""
     cur = _current(dim, "code_commune", "id_commune", broadcast_rows)
     return df.join(cur, F.col(code) == F.col("__dim_code"), "inner").drop("__dim_code")
 

@@ -11,6 +11,8 @@ every manifest entry gets a status, an object path and a size.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,14 +34,18 @@ def manifest_frame(spark: SparkSession, entries: list[dict]) -> DataFrame:
                                  MANIFEST_SCHEMA)
 
 
-def landed_listing(spark: SparkSession, root: str) -> DataFrame:
-    """Files under ``root`` with their size (metadata only, content not read)."""
+def landed_listing(spark: SparkSession, root: str, bucket: str) -> DataFrame:
+    """Files under ``root`` (the bucket's folder) with their size and their
+    object path ``bucket/<path below root>``; metadata only, content not read."""
+    name = os.path.basename(root.rstrip("/"))
+    rel = F.regexp_extract("path", "^.*?/" + re.escape(name) + "/(.*)$", 1)
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-                 .select("path", "length"))
+                 .select("path", "length")
+                 .withColumn("object_path", F.concat_ws("/", F.lit(bucket), rel)))
 
 
 def landing_report(manifest: DataFrame, landed: DataFrame, bucket: str, prefix: str,
-                   landed_key: str = "path", manifest_key: str = "object_path",
+                   landed_key: str = "object_path", manifest_key: str = "object_path",
                    uploaded_at: _dt.datetime | None = None) -> DataFrame:
     """One row per manifest entry.
 
