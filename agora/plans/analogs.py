@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora.functions.clean import clean_double, clean_int
+from agora.operators.joins import bounded_broadcast
 from agora.operators.keys import dense_key
 from agora.operators.quality import evaluate_rules, fail_count, quality_summary
 from agora.operators.reshape import with_provenance
@@ -216,8 +217,9 @@ def q_dim_reference(spark, sf):
     pairs = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_name", "r_name")
     cands = gold.reference_dimension(pairs, "n_name", "id_candidat", parent_col="r_name",
                                      unknown=(0, "APPLICABLE", "NA"), load_ts=LOAD_TS)
-    # both sides are bounded by the (tiny) region and nation tables
-    p = F.broadcast(parties.select(F.col("r_name").alias("__p_name"), F.col("id_parti").alias("fk_parti")))
+    # the party side has one row per region: broadcast behind a row-count check
+    p = bounded_broadcast(parties.select(F.col("r_name").alias("__p_name"),
+                                         F.col("id_parti").alias("fk_parti")), 10_000)
     out = cands.join(p, cands.r_name == F.col("__p_name"), "left")
     return out.select("id_candidat", F.col("n_name").alias("nom"), "fk_parti",
                       F.col("r_name").alias("famille_politique"), "is_current")
