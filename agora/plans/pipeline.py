@@ -31,6 +31,16 @@ RAW_COLUMNS = {
 }
 
 
+# Physical order of two Bronze tables (ORDER BY in their CTAS): applied as a
+# partition-local sort when writing, no global shuffle for a storage order.
+# (column, descending)
+BRONZE_ORDER = {
+    "socio_demo_communes": [("code_commune", False)],
+    "presidentielle_2022_communes_candidats_pct": [
+        ("code_departement", False), ("code_commune", False), ("voix", True)],
+}
+
+
 def read_raw(spark: SparkSession, paths: dict[str, str | Sequence[str]], sep: str = ",",
              encoding: str = "UTF-8") -> dict[str, DataFrame]:
     """Raw CSV files as text relations; the association files may be several."""
@@ -41,7 +51,8 @@ def read_raw(spark: SparkSession, paths: dict[str, str | Sequence[str]], sep: st
 def _store(df: DataFrame, warehouse: str, zone: str, name: str, mode: str = "overwrite",
            sort: Sequence[str] = ()) -> DataFrame:
     path = f"{warehouse.rstrip('/')}/{zone}/{name}"
-    out = df.sortWithinPartitions(*sort) if sort else df
+    keys = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in sort]
+    out = df.sortWithinPartitions(*keys) if keys else df
     out.write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -55,7 +66,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
     _store(GV.audit_frame(spark, GV.audit_start_rows(start_ts)), warehouse, "governance",
            "META_CHARGEMENT", mode="append")
 
-    bronze = {name: _store(df, warehouse, "bronze", name)
+    bronze = {name: _store(df, warehouse, "bronze", name, sort=BRONZE_ORDER.get(name, ()))
               for name, df in B.build_bronze(raw, start_ts).items()}
     _store(GV.run_quality(bronze, GV.BRONZE_RULES, start_ts), warehouse, "governance",
            "DATA_QUALITY_LOG", mode="append")
@@ -81,4 +92,4 @@ def reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             "load_history": GV.load_history(tables["META_CHARGEMENT"])}
 
 
-__all__ = ["read_raw", "run", "reports", "RAW_COLUMNS", "F"]
+__all__ = ["read_raw", "run", "reports", "RAW_COLUMNS", "BRONZE_ORDER"]

@@ -153,3 +153,16 @@ def test_quality_log_and_audit(tables):
     rep = P.reports(tables)
     assert rep["fail_count"].first()[0] == sum(1 for r in log.values() if r.statut == "FAIL")
     assert rep["load_history"].first().id_chargement in (3, 4)
+
+
+def test_rerun_is_idempotent_and_logs_append(spark, raw_paths, tmp_path):
+    raw = P.read_raw(spark, raw_paths, sep=";")
+    wh = str(tmp_path / "wh")
+    first = P.run(spark, raw, wh, start_ts=TS, end_ts=TS)
+    n_results = first["FACT_RESULTATS_ELECTORAUX"].count()
+    n_crime = first["criminalite_commune"].count()
+    second = P.run(spark, raw, wh, start_ts=TS, end_ts=TS)
+    assert second["FACT_RESULTATS_ELECTORAUX"].count() == n_results          # overwritten, not doubled
+    assert second["criminalite_commune"].count() == n_crime
+    assert second["META_CHARGEMENT"].count() == 8                             # audit appends
+    assert second["DATA_QUALITY_LOG"].count() == 2 * len(RULES)
