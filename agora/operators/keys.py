@@ -20,11 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-import uuid
-
 from agora.session import ensure_checkpoint_dir
 
 _PID = "__agora_pid"
@@ -85,4 +85,5 @@ def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/agora-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer inference on read-back
+    return spark.read.schema(df.schema).parquet(path)

@@ -193,6 +193,43 @@ def security(b):
     return gold.fact_securite(crime_clean(b), communes(b), LOAD_TS)
 
 
+# The same facts without ``id_fait`` for consumers that never read it.
+@_memo
+def participation_nokey(b):
+    return gold.fact_participation(elections(b), communes(b), LOAD_TS, with_key=False)
+
+
+@_memo
+def population_nokey(b):
+    return gold.fact_population(socio(b), communes(b), LOAD_TS, with_key=False)
+
+
+@_memo
+def income_nokey(b):
+    return gold.fact_revenu(socio(b), communes(b), LOAD_TS, with_key=False)
+
+
+@_memo
+def economy_nokey(b):
+    return gold.fact_economie(socio(b), communes(b), associations(b), LOAD_TS, with_key=False)
+
+
+@_memo
+def housing_nokey(b):
+    return gold.fact_logement(socio(b), communes(b), LOAD_TS, with_key=False)
+
+
+@_memo
+def security_nokey(b):
+    return gold.fact_securite(crime_clean(b), communes(b), LOAD_TS, with_key=False)
+
+
+@_memo
+def results_nokey(b):
+    return gold.fact_resultats(candidates_pct(b), communes(b), segment_candidates(b), LOAD_TS,
+                               with_key=False)
+
+
 def _q(builder):
     def run(spark, sf):
         return _r6(builder(Build(spark, sf)))
@@ -226,15 +263,16 @@ def q_dim_reference(spark, sf):
 
 
 # Quality rules -----------------------------------------------------------------
+# no rule reads id_fait: the checked facts are built without it
 TABLE_BUILDERS = {
     "criminalite_commune_clean": crime_clean,
     "socio_demo_communes": socio,
     "elections_communes": elections,
-    "FACT_RESULTATS_ELECTORAUX": results,
-    "FACT_PARTICIPATION_ELECTORALE": participation,
-    "FACT_REVENU": income,
+    "FACT_RESULTATS_ELECTORAUX": results_nokey,
+    "FACT_PARTICIPATION_ELECTORALE": participation_nokey,
+    "FACT_REVENU": income_nokey,
     "DIM_COMMUNE": communes,
-    "FACT_ECONOMIE_LOCALE": economy,
+    "FACT_ECONOMIE_LOCALE": economy_nokey,
 }
 
 QC_GROUPS = {
@@ -294,7 +332,7 @@ def q_qc_fail_count(spark, sf):
 def audit(b):
     raw = I.CUSTOMER_SOCIO.frame(b.spark, b.sf)
     return governance.audit_with_counts(b.spark, LOAD_TS, END_TS,
-                                        [(raw, socio(b)), (socio(b), population(b))])
+                                        [(raw, socio(b)), (socio(b), population_nokey(b))])
 
 
 def q_audit_log(spark, sf):
@@ -326,8 +364,8 @@ def q_ingest_summary(spark, sf):
 # Features and scoring ----------------------------------------------------------
 @_memo
 def feature_mart(b):
-    return build_feature_mart(communes(b), population(b), income(b), economy(b), housing(b),
-                              participation(b), security(b))
+    return build_feature_mart(communes(b), population_nokey(b), income_nokey(b), economy_nokey(b),
+                              housing_nokey(b), participation_nokey(b), security_nokey(b))
 
 
 # Fixed model weights (the fitted model is not part of the source material).

@@ -254,12 +254,17 @@ def _fact_tail(source: Column | str, load_ts) -> list[Column]:
             _ts(load_ts).alias("date_chargement")]
 
 
-def _keyed(df: DataFrame, order: Sequence, columns: Sequence[str]) -> DataFrame:
+def _keyed(df: DataFrame, order: Sequence, columns: Sequence[str], with_key: bool = True) -> DataFrame:
+    """Number the fact rows (``id_fait``); consumers that never read the key
+    (quality checks, the feature mart) pass ``with_key=False`` and skip the
+    range sort and the frozen write that numbering needs."""
+    if not with_key:
+        return df.select(*columns)
     return dense_key(df, order, "id_fait").select("id_fait", *columns)
 
 
 def fact_resultats(bronze: DataFrame, communes: DataFrame, candidates: DataFrame,
-                   load_ts=None, tiebreak: Sequence[str] = ()) -> DataFrame:
+                   load_ts=None, tiebreak: Sequence[str] = (), with_key: bool = True) -> DataFrame:
     """one row per candidate and commune, unknown names -> candidate 0,
     rank of the votes inside the commune (ties share a rank)."""
     b = join_current_commune(bronze, communes)
@@ -283,11 +288,11 @@ def fact_resultats(bronze: DataFrame, communes: DataFrame, candidates: DataFrame
             "ratio_voix_exprimes", "delta_voix_vs_precedent", "delta_ratio_vs_precedent",
             "rang_commune", "fk_chargement", "source_fichier", "date_chargement"]
     order = ["code_commune", "__cand_id", *tiebreak, "nb_voix", "fk_commune"]
-    return _keyed(out, order, cols)
+    return _keyed(out, order, cols, with_key)
 
 
 def fact_participation(bronze: DataFrame, communes: DataFrame, load_ts=None,
-                       tiebreak: Sequence[str] = ()) -> DataFrame:
+                       tiebreak: Sequence[str] = (), with_key: bool = True) -> DataFrame:
     """counts as int, participation and abstention as [0..1]."""
     b = join_current_commune(bronze, communes)
     out = b.select(
@@ -307,10 +312,10 @@ def fact_participation(bronze: DataFrame, communes: DataFrame, load_ts=None,
         typed_null("double").alias("delta_abstention_vs_precedent"),
         *_fact_tail("source_fichier", load_ts))
     cols = [c for c in out.columns if c not in ("code_commune", *tiebreak)]
-    return _keyed(out, ["code_commune", *tiebreak, "fk_commune"], cols)
+    return _keyed(out, ["code_commune", *tiebreak, "fk_commune"], cols, with_key)
 
 
-def fact_population(socio: DataFrame, communes: DataFrame, load_ts=None) -> DataFrame:
+def fact_population(socio: DataFrame, communes: DataFrame, load_ts=None, with_key: bool = True) -> DataFrame:
     """population measures (the 75+ column takes the 75-89 bucket)."""
     s = join_current_commune(socio, communes)
     out = s.select(
@@ -328,10 +333,10 @@ def fact_population(socio: DataFrame, communes: DataFrame, load_ts=None) -> Data
         typed_null("double").alias("part_etrangers"),
         *_fact_tail("source_fichier", load_ts))
     cols = [c for c in out.columns if c != "code_commune"]
-    return _keyed(out, ["code_commune", "fk_commune"], cols)
+    return _keyed(out, ["code_commune", "fk_commune"], cols, with_key)
 
 
-def fact_revenu(socio: DataFrame, communes: DataFrame, load_ts=None) -> DataFrame:
+def fact_revenu(socio: DataFrame, communes: DataFrame, load_ts=None, with_key: bool = True) -> DataFrame:
     """incomes as int, poverty rates, income shares, count of secret values."""
     s = join_current_commune(socio, communes)
     out = s.select(
@@ -353,14 +358,14 @@ def fact_revenu(socio: DataFrame, communes: DataFrame, load_ts=None) -> DataFram
         typed_null("string").alias("imputation_methode"),
         *_fact_tail("source_fichier", load_ts))
     cols = [c for c in out.columns if c != "code_commune"]
-    return _keyed(out, ["code_commune", "fk_commune"], cols)
+    return _keyed(out, ["code_commune", "fk_commune"], cols, with_key)
 
 
 UNEMPLOYED = ["chomeurs_15_24_ans", "chomeurs_25_54_ans", "chomeurs_55_64_ans"]
 
 
 def fact_economie(socio: DataFrame, communes: DataFrame, associations: DataFrame,
-                  load_ts=None) -> DataFrame:
+                  load_ts=None, with_key: bool = True) -> DataFrame:
     """unemployment rate (percent, only when the workforce is > 0),
     labour and business counts, associations (0 when none)."""
     s = join_current_commune(socio, communes)
@@ -383,23 +388,23 @@ def fact_economie(socio: DataFrame, communes: DataFrame, associations: DataFrame
         F.coalesce(F.col("__v_n"), F.lit(0)).cast("long").alias("nb_associations"),
         *_fact_tail("source_fichier", load_ts))
     cols = [c for c in out.columns if c != "code_commune"]
-    return _keyed(out, ["code_commune", "fk_commune"], cols)
+    return _keyed(out, ["code_commune", "fk_commune"], cols, with_key)
 
 
 CRIME_RATES = ["taux_cambriolage", "taux_violence_famille", "taux_violence_sexuelle", "taux_vols_armes"]
 
 
-def fact_securite(crime_clean: DataFrame, communes: DataFrame, load_ts=None) -> DataFrame:
+def fact_securite(crime_clean: DataFrame, communes: DataFrame, load_ts=None, with_key: bool = True) -> DataFrame:
     """the four filled crime rates."""
     c = join_current_commune(crime_clean, communes)
     out = c.select("code_commune", F.col("__dim_key").alias("fk_commune"),
                    F.lit(TIME_2022).alias("fk_temps"), *CRIME_RATES,
                    *_fact_tail("source_fichier", load_ts))
     cols = [c for c in out.columns if c != "code_commune"]
-    return _keyed(out, ["code_commune", "fk_commune", "source_fichier"], cols)
+    return _keyed(out, ["code_commune", "fk_commune", "source_fichier"], cols, with_key)
 
 
-def fact_logement(socio: DataFrame, communes: DataFrame, load_ts=None) -> DataFrame:
+def fact_logement(socio: DataFrame, communes: DataFrame, load_ts=None, with_key: bool = True) -> DataFrame:
     """housing counts."""
     s = join_current_commune(socio, communes)
     out = s.select("code_commune", F.col("__dim_key").alias("fk_commune"),
@@ -409,7 +414,7 @@ def fact_logement(socio: DataFrame, communes: DataFrame, load_ts=None) -> DataFr
                    F.col("residences_principales_hlm").alias("logements_hlm"),
                    *_fact_tail("source_fichier", load_ts))
     cols = [c for c in out.columns if c != "code_commune"]
-    return _keyed(out, ["code_commune", "fk_commune"], cols)
+    return _keyed(out, ["code_commune", "fk_commune"], cols, with_key)
 
 
 def fact_education(spark: SparkSession) -> DataFrame:

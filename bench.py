@@ -27,7 +27,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", app="agora-bench", shuffle_partitions=cpus * 2,
+    spark = get_spark(f"local[{cpus}]", app="agora-bench", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": "16g"})
     # warm-up: JVM, code paths, file listing
     QUERIES["clean_int"](spark, sf_dir).write.format("noop").mode("overwrite").save()
