@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,11 +43,13 @@ def get_spark(master: str | None = None, app: str = "agora",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure reliable checkpoints have a home.
+    """Folder for checkpoints and written intermediate tables.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; we use
-    it as is.  Only when nothing is configured (local tests) do we fall
-    back to a fresh temporary folder.
+    The cluster names a shared folder in ``spark.checkpoint.dir``; it is
+    read from the session and used as it is.  Only a local master may
+    fall back to a fresh temporary folder: on a cluster each executor
+    would write to its own disk and later reads would miss rows, so a
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="agora-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
