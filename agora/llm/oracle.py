@@ -38,7 +38,7 @@ later as (select doc_id, i from (select doc_id, i, row_number() over (partition
 gone as (select doc_id, list(distinct pos) as places from (select doc_id, unnest(range(i, i + 20)) as pos from later)
          group by doc_id),
 word as (select d.doc_id, unnest(range(1, len(w) + 1)) as pos, unnest(w) as word from d),
-kept as (select word.doc_id, string_agg(word, ' ' order by pos) as text, count(*) as n
+kept as (select word.doc_id, string_agg(word, ' ' order by word.pos) as text, count(*) as n
          from word left join (select doc_id, unnest(places) as pos from gone) g
            on g.doc_id = word.doc_id and g.pos = word.pos
          where g.pos is null group by word.doc_id)
