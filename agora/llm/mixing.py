@@ -55,27 +55,31 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap
                     F.when(F.col("capped"), F.col("most")).otherwise(F.col("level") * F.col("weight")).alias("target"))
 
 
-def permuted(i: Column, size: Column, *seed: Column) -> Column:
-    """Pseudorandom permutation of 0 .. size-1: a Feistel network over the
-    smallest a x b grid (a = ceil(sqrt(size))) that holds them all, walked
-    on until it lands below ``size``.  A walk leaves the numbers from
-    ``size`` up, fewer than ``a``, after as many steps at most."""
-    a = F.greatest(F.ceil(F.sqrt(size.cast("double"))), F.lit(1)).cast("long")
-    b = F.ceil(size / a).cast("long")
-
-    def once(x: Column) -> Column:
-        hi, lo = F.floor(x / b).cast("long"), F.pmod(x, b)
-        for r in range(ROUNDS):
+def permuted(df: DataFrame, i: str, size: str, *seed: Column) -> DataFrame:
+    """``df`` with ``i`` put through a pseudorandom permutation of
+    0 .. size-1.  A Feistel network over an a x b grid (a = floor(sqrt(size)),
+    b = floor(size / a)) permutes all but the last few numbers, which stay;
+    a rotation then moves those into the grid, and a second network mixes
+    again.  Each step is one-to-one, and a projection of its own, so that no
+    expression holds another twice."""
+    keep = [F.col(c) for c in df.columns if c != i]
+    a, b, hi, lo, x = (F.col(f"__{c}") for c in ("a", "b", "hi", "lo", "x"))
+    grid = F.greatest(F.floor(F.sqrt(F.col(size).cast("double"))), F.lit(1)).cast("long")
+    df = df.select(*keep, F.col(i).cast("long").alias("__x"), grid.alias("__a")) \
+        .select(*keep, x, a, F.floor(F.col(size) / a).cast("long").alias("__b"))
+    for first in (0, ROUNDS):
+        df = df.select(*keep, x, a, b, F.floor(x / b).cast("long").alias("__hi"), F.pmod(x, b).alias("__lo"))
+        for r in range(first, first + ROUNDS):
             if r % 2:
-                hi = F.pmod(hi + F.pmod(F.xxhash64(F.lit(r), lo, *seed), a), a)
+                df = df.select(*keep, x, a, b, F.pmod(hi + F.pmod(F.xxhash64(F.lit(r), lo, *seed), a), a).alias("__hi"), lo)
             else:
-                lo = F.pmod(lo + F.pmod(F.xxhash64(F.lit(r), hi, *seed), b), b)
-        return hi * b + lo
-
-    state = lambda x, done: F.struct(x.cast("long").alias("x"), done.alias("done"))
-    walk = F.aggregate(F.sequence(F.lit(0), a.cast("int")), state(i, F.lit(False)),
-                       lambda s, _: F.when(s["done"], s).otherwise(state(once(s["x"]), once(s["x"]) < size)))
-    return walk["x"]
+                df = df.select(*keep, x, a, b, hi, F.pmod(lo + F.pmod(F.xxhash64(F.lit(r), hi, *seed), b), b).alias("__lo"))
+        out = F.when(x < a * b, hi * b + lo).otherwise(x)
+        if not first:
+            turn = F.floor(F.col(size) / 2) + F.pmod(F.xxhash64(F.lit("turn"), *seed), a)
+            out = F.pmod(out + turn, F.col(size))
+        df = df.select(*keep, out.cast("long").alias("__x"), a, b)
+    return df.select(*keep, x.alias(i))
 
 
 def packed(docs: DataFrame, weights: tuple[float, ...], cap: float, block_words: int):
@@ -139,11 +143,12 @@ def draw_slots(sources: DataFrame, seed: int) -> DataFrame:
         .withColumn("upto", F.sum("drawn").over(running)).withColumn("every", F.sum("drawn").over(by_source)) \
         .withColumn("first", F.expr(f"cast(upto - drawn as {wide}) * cast(slots as {wide}) div cast(every as {wide})")) \
         .withColumn("last", F.expr(f"cast(upto as {wide}) * cast(slots as {wide}) div cast(every as {wide}) - 1"))
+    counts = store(counts.where("last >= first").select("shard", "n", "blocks", "first", "last"), "mix-counts")
     index = F.col("index")
-    return counts.where("last >= first").repartition(max(1, total // 100_000), "shard", "n") \
+    slots = counts.repartition(max(1, total // 100_000), "shard", "n") \
         .select("shard", "n", "blocks", F.explode(F.sequence("first", "last")).alias("index")) \
-        .withColumn("block", permuted(F.pmod(index, F.col("blocks")), F.col("blocks"), F.col("n"),
-                                      F.floor(index / F.col("blocks")), F.lit(seed))) \
+        .withColumn("block", F.pmod(index, F.col("blocks")))
+    return permuted(slots, "block", "blocks", F.col("n"), F.floor(index / F.col("blocks")), F.lit(seed)) \
         .select("shard", "n", "index", "block")
 
 
@@ -153,7 +158,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: fl
     ``target`` and ``source_size`` are its source's, ``taken`` the words
     the mix takes of it, repeats counted."""
     places, sources = packed(docs, weights, cap, block_words)
-    takes = draw_slots(sources, seed).groupBy("n", "block").agg(F.count("*").alias("times"))
+    takes = store(draw_slots(sources, seed).groupBy("n", "block").agg(F.count("*").alias("times")), "mix-takes")
     parts = places.where("end > start").select("row", "n", "start", "end", F.explode(F.sequence(
         F.floor(F.col("start") / block_words), F.floor((F.col("end") - 1) / block_words))).alias("block"))
     words = F.least("end", (F.col("block") + 1) * block_words) - F.greatest("start", F.col("block") * block_words)
