@@ -161,15 +161,17 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -
 def train_language_model(docs: DataFrame, learn_from: Column, rows: int = TRAIN_ROWS) -> LanguageModel | None:
     """Fits on about ``rows`` of the documents where ``learn_from`` holds and
     ``lang`` is not null; ``None`` if there are none."""
+    pick = F.coalesce(F.xxhash64(F.col("doc_id").cast("long")), F.lit(0))
     labelled = docs.where(learn_from & F.col("lang").isNotNull()) \
-        .select(F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"),
-                F.xxhash64("doc_id", "text").alias("pick"))
+        .select(F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"), pick.alias("pick"))
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     langs = counts.count()
     if not langs:
         return None
     share = F.pmod("pick", F.lit(1_000_003)) / 1_000_003
-    sample = labelled.join(counts, "lang").where(share * F.col("n") * langs < rows).select("lang", "text", "pick")
+    picks = labelled.select("lang", "pick").join(counts, "lang").where(share * F.col("n") * langs < rows) \
+        .select("pick").distinct().orderBy("pick").limit(2 * rows)
+    sample = labelled.join(F.broadcast(picks), "pick", "left_semi")  # 2 * rows numbers at most
 
     def features(batches):
         for batch in batches:
@@ -178,13 +180,14 @@ def train_language_model(docs: DataFrame, learn_from: Column, rows: int = TRAIN_
                 batch["lang"], batch["pick"], pa.array([f[0] for f in found], pa.list_(pa.int32())),
                 pa.array([f[1] for f in found], pa.list_(pa.float32()))], ["lang", "pick", "rows", "shares"])
 
-    got = sample.mapInArrow(features, "lang string, pick long, rows array<int>, shares array<float>") \
-        .orderBy("pick").limit(2 * rows).toArrow()
+    got = sample.select("lang", "text", "pick") \
+        .mapInArrow(features, "lang string, pick long, rows array<int>, shares array<float>") \
+        .orderBy("pick").limit(2 * rows).toArrow().combine_chunks()
     if not got.num_rows:
         return None
-    got = got.sort_by([("pick", "ascending"), ("lang", "ascending")])
-    return train([(r["lang"], np.array(r["rows"], np.int32), np.array(r["shares"], np.float32))
-                  for r in got.to_pylist()])
+    order = sorted(range(got.num_rows), key=lambda i: (got["pick"][i].as_py(), got["lang"][i].as_py()))
+    return train([(got["lang"][i].as_py(), got["rows"][i].values.to_numpy(), got["shares"][i].values.to_numpy())
+                  for i in order])
 
 
 def identify_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
