@@ -11,7 +11,7 @@ shared out evenly over the languages (a hot language or source weighs no
 more), each as hashed counts of its whole text.  A part of it is held back
 to calibrate: one temperature for the probabilities, and the probability
 under which a prediction is rejected, set so that at most ``REJECT`` of
-those documents fall below, and 0.5 at most.
+those documents fall below, and at most ``CHANCE`` times an even guess.
 
 Defined results: null text and text without a letter are ``und`` with
 score 0 and rejected; an empty ``lang`` is a value like any other, a null
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from agora.llm.common import binary_list, read_with
 
-TRAIN_ROWS, REJECT = 1600, 0.001
+TRAIN_ROWS, REJECT, CHANCE = 1600, 0.001, 1.5
 ROWS_BITS, DIM, GRAMS = 14, 16, (1, 2, 3, 4)
 EPOCHS, RATE, BATCH, SEED = 20, 0.5, 16, 42
 PIECE = 1 << 20
@@ -154,7 +154,7 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -
     loss = lambda t: -np.log(np.maximum(softmax(raw / t)[np.arange(len(truth)), truth], 1e-300)).mean()
     temperature = min(np.geomspace(0.2, 20, 61).tolist(), key=loss)
     sure = softmax(raw / temperature).max(axis=1)
-    threshold = min(0.5, float(np.quantile(sure, REJECT)))
+    threshold = min(CHANCE / len(langs), float(np.quantile(sure, REJECT)))
     return LanguageModel(langs, scores.astype(np.float32), bias, temperature, threshold)
 
 
