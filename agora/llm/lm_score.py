@@ -37,7 +37,7 @@ from agora.llm.common import store, text_blocks
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 END = " "  # no word
-BLOCK_BYTES, ROUNDS, SMOOTHING = 16 << 20, 4, 0.1
+BLOCK_BYTES, ROUNDS, SMOOTHING = 8 << 20, 4, 0.1
 CHUNK, FEW, LONG = 8192, 100, 128
 _MUL = 0xD6E8FEB86659FD93
 _BITS = 20
