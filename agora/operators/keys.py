@@ -1,28 +1,27 @@
 """Dense surrogate keys: ``ROW_NUMBER() OVER (ORDER BY ...)`` at scale.
 
 A plain global window sends every row to one partition.  Here the rows
-are range-partitioned on the full order key (Spark samples the key, so a
-hot leading value is split by the following columns), sorted inside each
-partition, and the per-partition row counts give each partition its
-offset.  The layout is frozen by writing it once, partition id and
-local index included, as a Parquet table under the shared folder named
-by ``spark.checkpoint.dir``: the count pass and the numbering pass read
-the same rows even if executors are lost in between, and the input plan
-is computed only once (a reliable ``checkpoint()`` would compute it a
-second time to write it).
-
-Order keys should be unique (add tie-breakers); with residual ties the
-numbering among fully identical rows is arbitrary, exactly as for
-``ROW_NUMBER``.
+are written once with a row number of their own, so the input is computed
+a single time; that table is range-partitioned on the order key with the
+row number as last tie-breaker (Spark samples the key, so neither a hot
+leading value nor rows with one and the same key end up in one task),
+sorted inside each partition and written again with its partition id.
+The per-partition row counts then give each partition its offset.  Both
+tables lie in the shared folder named by ``spark.checkpoint.dir``: losing
+an executor loses nothing.  The first is removed as soon as the second
+stands; ``scratch`` removes the others once their result is stored.
+
+With residual ties the numbering among fully identical rows is arbitrary,
+exactly as for ``ROW_NUMBER``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agora.session import ensure_checkpoint_dir
@@ -30,13 +29,29 @@ from agora.session import ensure_checkpoint_dir
 _PID = "__agora_pid"
 _MID = "__agora_mid"
 _OFF = "__agora_off"
+_ROW = "__agora_row"
+ROWS_PER_PARTITION = 1_000_000
+#: Open ``scratch`` blocks, innermost last: the folders each will remove.
+_scratch: list[list[str]] = []
 
 
 def _ordered(cols: Sequence[Column | str]) -> list[Column]:
-    out = []
-    for c in cols:
-        out.append(F.col(c).asc_nulls_last() if isinstance(c, str) else c)
-    return out
+    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
+
+
+def range_layout(df: DataFrame, order_by: Sequence[Column | str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` written in ``order_by`` order, with its partition id and its
+    place in the partition.  Partitions hold about ``ROWS_PER_PARTITION``
+    rows, whatever the session's shuffle setting."""
+    spark = df.sparkSession
+    once, path = _written(df.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
+    n = num_partitions or max(1, -(-once.count() // ROWS_PER_PARTITION))  # the count reads file footers only
+    ordered = [*_ordered(order_by), F.col(_ROW)]
+    laid_out = freeze(once.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered)
+                          .withColumn(_PID, F.spark_partition_id())
+                          .withColumn(_MID, F.monotonically_increasing_id()).drop(_ROW))
+    remove(spark, path)
+    return laid_out
 
 
 def dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str,
@@ -46,15 +61,7 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str,
     ``order_by`` items are column names (ascending, NULLs last) or sort
     expressions such as ``F.col("x").desc_nulls_last()``.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = _ordered(order_by)
-    laid_out = (df.repartitionByRange(n, *ordered)
-                  .sortWithinPartitions(*ordered)
-                  .withColumn(_PID, F.spark_partition_id())
-                  .withColumn(_MID, F.monotonically_increasing_id()))
-    # Freeze the range layout: one write into the shared checkpoint folder.
-    frozen = freeze(laid_out)
+    frozen = range_layout(df, order_by, num_partitions)
     # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = (frozen.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
                      .withColumn(_OFF, F.coalesce(
@@ -68,12 +75,20 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str,
 
 
 def small_dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str) -> DataFrame:
-    """Window ``row_number`` for inputs with a known small bound
-    (literal dimensions, code lists)."""
+    """Window ``row_number`` for inputs with a known small bound (calendar
+    days, literal code lists)."""
     w = Window.orderBy(*_ordered(order_by))
     return df.withColumn(name, F.row_number().over(w).cast("long"))
 
 
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/agora-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    # the schema is known: no footer inference on read-back
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and read it back.
 
@@ -81,9 +96,25 @@ def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     cluster's shared folder, so losing an executor loses nothing) and
     computes the input a single time.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/agora-{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    # the schema is known: no footer inference on read-back
-    return spark.read.schema(df.schema).parquet(path)
+    out, path = _written(df, name)
+    if _scratch:
+        _scratch[-1].append(path)
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one written table, on whatever file system it lies."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables frozen inside the block when it ends; whatever
+    depends on them must be stored by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)

@@ -19,9 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Candidate list (order breaks ties) and political families.
@@ -83,6 +85,39 @@ class LinearModel:
         return expr
 
 
+#: A scenario: one label and the numbers the model reads, all of them mandatory.
+SCENARIO_SCHEMA = T.StructType([T.StructField("commune", T.StringType())]
+                               + [T.StructField(f, T.DoubleType()) for f in SCENARIO_FEATURES])
+STATUS_SCORED, STATUS_REJECTED = "OK", "REJETE"
+
+
+def read_scenarios(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Scenarios by their declared schema, each with its status."""
+    return with_status(spark.read.schema(SCENARIO_SCHEMA).format(fmt).load(path))
+
+
+def with_status(scenarios: DataFrame) -> DataFrame:
+    """``statut``: a scenario that lacks one of its numbers is rejected; it
+    keeps its row, and its scores and votes are NULL."""
+    complete = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in SCENARIO_FEATURES])
+    return scenarios.withColumn("statut", F.when(complete, STATUS_SCORED).otherwise(STATUS_REJECTED))
+
+
+def score_with_pipeline(scenarios: DataFrame, model, candidates: Sequence[str] | None = None,
+                        prediction: str = "prediction", id_col: str = "commune") -> DataFrame:
+    """Scores of a fitted Spark ML ``PipelineModel`` (its stages index or
+    encode ``nom_complet`` and assemble the features): one row per complete
+    scenario and candidate, rejected scenarios with a NULL score."""
+    rows = expand_candidates(with_status(scenarios), tuple(candidates or CANDIDATS))
+    scored = model.transform(rows.where(F.col("statut") == STATUS_SCORED)).select(
+        id_col, "ordinal", F.col(CATEGORY).alias("candidat"), "statut",
+        F.bround(F.col(prediction).cast("double"), SCORE_DIGITS).alias("score_brut_modele"))
+    rejected = rows.where(F.col("statut") == STATUS_REJECTED).select(
+        id_col, "ordinal", F.col(CATEGORY).alias("candidat"), "statut",
+        F.lit(None).cast("double").alias("score_brut_modele"))
+    return scored.unionByName(rejected)
+
+
 def dummy_name(value: str, prefix: str = CATEGORY) -> str:
     return f"{prefix}_{value}"
 
@@ -143,7 +178,11 @@ def predict_scores(scenarios: DataFrame, model: LinearModel, id_col: str = "comm
                    **kw) -> DataFrame:
     """One row per scenario and candidate with the rounded model score."""
     arr = candidate_scores(scenarios, model, **kw)
-    return scenarios.select(id_col, F.inline(arr))
+    return scenarios.select(id_col, *_status_of(scenarios), F.inline(arr))
+
+
+def _status_of(df: DataFrame) -> list[str]:
+    return ["statut"] if "statut" in df.columns else []
 
 
 def _allocated(scenarios: DataFrame, model: LinearModel, id_col: str, population: str, **kw) -> DataFrame:
@@ -155,7 +194,7 @@ def _allocated(scenarios: DataFrame, model: LinearModel, id_col: str, population
     expressions are evaluated once per row, not once per lambda call.
     """
     c = F.col("__c")
-    df = scenarios.select(id_col, F.col(population).cast("double").alias("__pop"),
+    df = scenarios.select(id_col, *_status_of(scenarios), F.col(population).cast("double").alias("__pop"),
                           candidate_scores(scenarios, model, **kw).alias("__c"))
     df = df.withColumn("__total", F.aggregate(
         c, F.lit(0.0), lambda acc, x: acc + F.coalesce(x["score_brut_modele"], F.lit(0.0))))
@@ -167,7 +206,8 @@ def _allocated(scenarios: DataFrame, model: LinearModel, id_col: str, population
 def vote_allocation(scenarios: DataFrame, model: LinearModel, id_col: str = "commune",
                     population: str = "population_totale_2022", **kw) -> DataFrame:
     """One row per scenario and candidate with score and predicted votes."""
-    return _allocated(scenarios, model, id_col, population, **kw).select(id_col, F.inline("__c"))
+    return _allocated(scenarios, model, id_col, population, **kw).select(
+        id_col, *_status_of(scenarios), F.inline("__c"))
 
 
 def ranking(scenarios: DataFrame, model: LinearModel, id_col: str = "commune",
@@ -181,13 +221,14 @@ def ranking(scenarios: DataFrame, model: LinearModel, id_col: str = "commune",
         x["ordinal"].alias("k2"),
         x.alias("v")))
     ordered = F.transform(F.sort_array(keyed), lambda s: s["v"])
-    return (df.select(id_col, F.posexplode(ordered).alias("pos", "c"))
-              .select(id_col, (F.col("pos") + 1).alias("rang"), "c.*"))
+    return (df.select(id_col, *_status_of(df), F.posexplode(ordered).alias("pos", "c"))
+              .select(id_col, *_status_of(df), (F.col("pos") + 1).alias("rang"), "c.*"))
 
 
 def winners(ranked: DataFrame, id_col: str = "commune") -> DataFrame:
-    """Top-1 per scenario."""
+    """Top-1 per scenario; a rejected scenario has no winner."""
+    won = F.col("statut") == STATUS_SCORED if "statut" in ranked.columns else F.lit(True)
     return ranked.where(F.col("rang") == 1).select(
-        id_col, F.col("candidat").alias("gagnant_predit"),
-        F.col("famille_politique").alias("famille_politique_gagnant"),
+        id_col, *_status_of(ranked), F.when(won, F.col("candidat")).alias("gagnant_predit"),
+        F.when(won, F.col("famille_politique")).alias("famille_politique_gagnant"),
         F.col("voix_predites_estimees").alias("voix_estimees"))

@@ -1,16 +1,18 @@
 """Partition-wise shares and ranks (window operators W1, W2, O4).
 
-Both are written to survive a hot partition key (one key holding a large
-share of all rows):
+Both survive a hot partition key (one key holding a large share of all
+rows):
 
 * ``share_of_partition`` pre-aggregates the partition totals (map-side
   partial sums, one row per key) and joins them back, instead of a
-  whole-partition window that would buffer the hot key in one task.  The
-  join side is one row per key; Spark broadcasts it when its statistics
-  say it is small, otherwise AQE's skew-join splits the hot key.
-* ``rank_desc`` ranks the distinct ``(key, value)`` pairs with their
-  multiplicities, then joins the rank back.  ``RANK`` only depends on the
-  value, so ties collapse before the window runs.
+  whole-partition window that would buffer the hot key in one task.
+* ``rank_desc`` reduces the rows to distinct ``(key, value)`` pairs with
+  their multiplicities and range-partitions those, so a key's values may
+  span many tasks; each task counts on from what stands before it.
+
+The keys join as one struct: equal structs may hold NULLs (NULL keys form
+one group, as in ``PARTITION BY``), and being a plain equality on the
+grouping key the join goes when nobody reads its result.
 """
 
 from __future__ import annotations
@@ -20,6 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from agora.operators.keys import _MID, _PID, range_layout
+
+_KEY = "__agora_key"
+
 
 def share_of_partition(df: DataFrame, value: str, partition_by: Sequence[str],
                        out: str, percent: bool = True) -> DataFrame:
@@ -28,42 +34,30 @@ def share_of_partition(df: DataFrame, value: str, partition_by: Sequence[str],
 
     A NULL partition total (all values NULL) gives NULL.
     """
-    keys = list(partition_by)
     total = "__agora_total"
-    totals = (df.groupBy(*keys).agg(F.sum(value).alias(total))
-                .select(*[F.col(k).alias(_r(k)) for k in keys], total))
+    totals = df.groupBy(F.struct(*partition_by).alias(_KEY)).agg(F.sum(value).alias(total))
     scale = 100.0 if percent else 1.0
-    joined = _join_back(df, totals, keys)
     share = (F.when(F.col(total) == 0, F.lit(0.0))
               .otherwise(F.col(value).cast("double") * scale / F.col(total).cast("double")))
-    return joined.withColumn(out, share).drop(total)
+    return _join_back(df, totals, list(partition_by)).withColumn(out, share).drop(total)
 
 
-def rank_desc(df: DataFrame, value: str, partition_by: Sequence[str], out: str) -> DataFrame:
+def rank_desc(df: DataFrame, value: str, partition_by: Sequence[str], out: str,
+              num_partitions: int | None = None) -> DataFrame:
     """``RANK() OVER (PARTITION BY k ORDER BY value DESC NULLS LAST)`` (int)."""
-    keys = list(partition_by)
-    n = "__agora_n"
+    keys, n, before = list(partition_by), "__agora_n", "__agora_before"
     pairs = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n))
-    w = (Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
-               .rowsBetween(Window.unboundedPreceding, -1))
-    ranked = (pairs.withColumn(out, (F.coalesce(F.sum(n).over(w), F.lit(0)) + 1).cast("int"))
-                   .select(*[F.col(k).alias(_r(k)) for k in keys + [value]], out))
-    return _join_back(df, ranked, keys + [value])
-
-
-def _r(k: str) -> str:
-    return f"__agora_r_{k}"
+    laid = range_layout(pairs, [*keys, F.col(value).desc_nulls_last()], num_partitions)
+    so_far = Window.partitionBy(_PID, *keys).orderBy(_MID).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per key and partition that holds some of it
+    offsets = (laid.groupBy(_PID, *keys).agg(F.sum(n).alias("__agora_in"))
+                   .select(F.struct(_PID, *keys).alias(_KEY), F.coalesce(F.sum("__agora_in").over(earlier), F.lit(0)).alias(before)))
+    ranked = laid.withColumn("__agora_here", F.coalesce(F.sum(n).over(so_far), F.lit(0)))
+    ranked = _join_back(ranked, offsets, [_PID, *keys]).select(
+        F.struct(*keys, value).alias(_KEY), (F.col(before) + F.col("__agora_here") + 1).cast("int").alias(out))
+    return _join_back(df, ranked, [*keys, value])
 
 
 def _join_back(df: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on null-safe equality of ``keys`` (NULL keys form one group,
-    as in ``PARTITION BY``), dropping the right-hand key copies."""
-    cond = [F.col(k).eqNullSafe(F.col(_r(k))) for k in keys]
-    return df.join(right, cond, "left").drop(*[_r(k) for k in keys])
-
-
-def first_by_rank(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, out: str) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY k ORDER BY ...)`` for partitions of a
-    known small size (e.g. one scenario's candidate list)."""
-    w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    return df.withColumn(out, F.row_number().over(w))
+    return df.join(right, F.struct(*keys) == F.col(_KEY), "left").drop(_KEY)

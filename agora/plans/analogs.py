@@ -16,17 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora.functions.clean import clean_double, clean_int
-from agora.operators.joins import bounded_broadcast
 from agora.operators.keys import dense_key
 from agora.operators.quality import evaluate_rules, fail_count, quality_summary
 from agora.operators.reshape import with_provenance
 from agora.operators.scoring import (LinearModel, dummy_name, expand_candidates, one_hot_align,
                                      predict_scores as _predict_scores, ranking, vote_allocation as _alloc,
-                                     winners, CANDIDATS, SCENARIO_FEATURES)
+                                     winners, with_status, CANDIDATS)
 from agora.plans import bronze, gold, governance
 from agora.plans import inputs as I
 from agora.sources.ingest import ingest_summary as _ingest_summary, landing_report
-from agora.plans.features import build_feature_mart
+from agora.plans.features import build_feature_mart, socio_facts
 from agora.sources.raw import read_testdata
 
 LOAD_TS = _dt.datetime(2026, 1, 1, 2, 0, 0)
@@ -144,13 +143,13 @@ def candidates_pct(b):
 # Gold builders -----------------------------------------------------------------
 @_memo
 def communes(b):
-    labels = I.ORDERS_LABELS.frame(b.spark, b.sf).where(F.col("o_orderpriority") == I.LABEL_PRIORITY)
+    labels = I.ORDERS_LABELS.frame(b.spark, b.sf)
     return gold.dim_commune(I.CUSTOMER_COMMUNES.frame(b.spark, b.sf), labels, LOAD_TS)
 
 
 @_memo
 def segment_candidates(b):
-    cust = read_testdata(b.spark, b.sf, "customer").where(F.col("c_mktsegment") != I.SEGMENT_EXCLUDED)
+    cust = read_testdata(b.spark, b.sf, "customer")
     return gold.reference_dimension(cust.select(F.col("c_mktsegment").alias("nom")), "nom", "id_candidat",
                                     unknown=I.UNKNOWN_CANDIDATE, load_ts=LOAD_TS)
 
@@ -227,7 +226,7 @@ def security_nokey(b):
 @_memo
 def results_nokey(b):
     return gold.fact_resultats(candidates_pct(b), communes(b), segment_candidates(b), LOAD_TS,
-                               with_key=False)
+                               with_key=False, with_rank=False)
 
 
 def _q(builder):
@@ -254,9 +253,7 @@ def q_dim_reference(spark, sf):
     pairs = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_name", "r_name")
     cands = gold.reference_dimension(pairs, "n_name", "id_candidat", parent_col="r_name",
                                      unknown=(0, "APPLICABLE", "NA"), load_ts=LOAD_TS)
-    # the party side has one row per region: broadcast behind a row-count check
-    p = bounded_broadcast(parties.select(F.col("r_name").alias("__p_name"),
-                                         F.col("id_parti").alias("fk_parti")), 10_000)
+    p = parties.select(F.col("r_name").alias("__p_name"), F.col("id_parti").alias("fk_parti"))
     out = cands.join(p, cands.r_name == F.col("__p_name"), "left")
     return out.select("id_candidat", F.col("n_name").alias("nom"), "fk_parti",
                       F.col("r_name").alias("famille_politique"), "is_current")
@@ -347,8 +344,8 @@ def q_load_history(spark, sf):
 # Ingest ------------------------------------------------------------------------
 @_memo
 def landing(b):
-    manifest = I.PAGES_MANIFEST.frame(b.spark, b.sf)
-    landed = I.PAGES_LANDED.frame(b.spark, b.sf).where(F.col("length") > 0)
+    manifest = I.PAGES_MANIFEST.frame(b.spark, b.sf).unionByName(I.NATIONS_MANIFEST.frame(b.spark, b.sf))
+    landed = I.PAGES_LANDED.frame(b.spark, b.sf)
     return landing_report(manifest, landed, bucket=I.BUCKET, prefix=I.RAW_PREFIX,
                           landed_key="url", manifest_key="url", uploaded_at=END_TS)
 
@@ -364,8 +361,8 @@ def q_ingest_summary(spark, sf):
 # Features and scoring ----------------------------------------------------------
 @_memo
 def feature_mart(b):
-    return build_feature_mart(communes(b), population_nokey(b), income_nokey(b), economy_nokey(b),
-                              housing_nokey(b), participation_nokey(b), security_nokey(b))
+    return build_feature_mart(communes(b), socio_facts(socio(b), communes(b), associations(b)),
+                              participation_nokey(b), security_nokey(b))
 
 
 # Fixed model weights (the fitted model is not part of the source material).
@@ -386,7 +383,7 @@ MODEL = LinearModel(
 
 @_memo
 def scenarios(b):
-    return feature_mart(b).fillna(0.0, subset=SCENARIO_FEATURES)
+    return with_status(feature_mart(b))
 
 
 def q_one_hot_align(spark, sf):

@@ -197,16 +197,21 @@ def candidate_shares(raw: DataFrame, keys: Sequence[str] = tuple(ELECTION_KEYS),
     return share_of_partition(df, "voix", list(partition_by), "pourcentage_voix")
 
 
+def build_clean_crime(stored: DataFrame) -> DataFrame:
+    """B3 from the stored B2."""
+    return neutral_fill(stored)
+
+
 def build_bronze(raw: dict[str, DataFrame], load_ts: _dt.datetime | None = None) -> dict[str, DataFrame]:
-    """All Bronze tables from the raw inputs (keys: associations (list),
-    crime, socio, elections, candidates)."""
+    """The Bronze tables that raw inputs give (keys: associations (list),
+    crime, socio, elections, candidates); ``criminalite_commune_clean``
+    follows from a stored one, see ``build_clean_crime``."""
     crime = with_provenance(crime_pivot(raw["crime"]), SOURCE_CRIME, load_ts)
     crime = patch_missing(crime, load_ts=load_ts)
     return {
         "vie_associative_commune": with_provenance(association_counts(raw["associations"]),
                                                    SOURCE_ASSOCIATIONS, load_ts),
         "criminalite_commune": crime,
-        "criminalite_commune_clean": neutral_fill(crime),
         "socio_demo_communes": with_provenance(socio_clean(raw["socio"]), SOURCE_SOCIO, load_ts),
         "elections_communes": with_provenance(participation(raw["elections"]), SOURCE_ELECTIONS, load_ts),
         "presidentielle_2022_communes_candidats_pct": with_provenance(

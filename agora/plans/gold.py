@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from agora.functions.clean import (code_to_label, count_missing, d_to_int, norm_name,
                                    null_safe_sum, pct_to_ratio, rate_if_positive, typed_null)
-from agora.operators.joins import bounded_broadcast, literal_broadcast
 from agora.operators.keys import dense_key, small_dense_key
 from agora.operators.windows import rank_desc
 
@@ -217,7 +216,7 @@ def reference_dimension(values: DataFrame, name_col: str, id_col: str, parent_co
     validity triple.  ``unknown`` = (id, name[, parent id])."""
     cols = [name_col] + ([parent_col] if parent_col else [])
     distinct = values.select(*cols).where(F.col(name_col).isNotNull()).distinct()
-    keyed = small_dense_key(distinct, [name_col] + ([parent_col] if parent_col else []), id_col)
+    keyed = dense_key(distinct, [name_col] + ([parent_col] if parent_col else []), id_col)
     keyed = keyed.select(F.col(id_col).cast("int"), *cols)
     if unknown is not None:
         spark = values.sparkSession
@@ -230,21 +229,14 @@ def reference_dimension(values: DataFrame, name_col: str, id_col: str, parent_co
 
 
 # Facts ----------------------------------------------------------------------
-def _current(dim: DataFrame, code: str, key: str, bound: int | None) -> DataFrame:
-    cur = dim.where(F.col("is_current")).select(F.col(code).alias("__dim_code"),
-                                               F.col(key).alias("__dim_key"))
-    return bounded_broadcast(cur, bound) if bound else cur
-
-
-def join_current_commune(df: DataFrame, dim: DataFrame, code: str = "code_commune",
-                         broadcast_rows: int | None = None) -> DataFrame:
+def join_current_commune(df: DataFrame, dim: DataFrame, code: str = "code_commune") -> DataFrame:
     """Inner join to the current commune rows; adds ``__dim_key`` (id_commune).
 
     The dimension comes out of ``dense_key`` as a written table, so the
     planner knows its on-disk size and broadcasts it only below
-    ``spark.sql.autoBroadcastJoinThreshold`` (a shuffle join otherwise).
-    ``broadcast_rows`` forces a bounded-count check instead."""
-    cur = _current(dim, "code_commune", "id_commune", broadcast_rows)
+    ``spark.sql.autoBroadcastJoinThreshold`` (a shuffle join otherwise)."""
+    cur = dim.where(F.col("is_current")).select(F.col("code_commune").alias("__dim_code"),
+                                               F.col("id_commune").alias("__dim_key"))
     return df.join(cur, F.col(code) == F.col("__dim_code"), "inner").drop("__dim_code")
 
 
@@ -264,14 +256,17 @@ def _keyed(df: DataFrame, order: Sequence, columns: Sequence[str], with_key: boo
 
 
 def fact_resultats(bronze: DataFrame, communes: DataFrame, candidates: DataFrame,
-                   load_ts=None, tiebreak: Sequence[str] = (), with_key: bool = True) -> DataFrame:
+                   load_ts=None, tiebreak: Sequence[str] = (), with_key: bool = True,
+                   with_rank: bool = True) -> DataFrame:
     """one row per candidate and commune, unknown names -> candidate 0,
-    rank of the votes inside the commune (ties share a rank)."""
+    rank of the votes inside the commune (ties share a rank).  Without
+    ``with_rank`` the rank is left out, for consumers that never read it."""
     b = join_current_commune(bronze, communes)
-    dc = literal_broadcast(candidates.where(F.col("is_current")).select(
-        norm_name("nom").alias("__cand_nom"), F.col("id_candidat").alias("__cand_id")))
+    dc = candidates.where(F.col("is_current")).select(
+        norm_name("nom").alias("__cand_nom"), F.col("id_candidat").alias("__cand_id"))
     j = b.join(dc, norm_name(F.col("nom")) == F.col("__cand_nom"), "left").drop("__cand_nom")
-    j = rank_desc(j, "voix", ["code_commune"], "rang_commune")
+    if with_rank:
+        j = rank_desc(j, "voix", ["code_commune"], "rang_commune")
     out = j.select(
         "code_commune", "__cand_id", *tiebreak,
         F.col("__dim_key").alias("fk_commune"),
@@ -282,11 +277,11 @@ def fact_resultats(bronze: DataFrame, communes: DataFrame, candidates: DataFrame
         pct_to_ratio("pourcentage_voix").alias("ratio_voix_exprimes"),
         typed_null("int").alias("delta_voix_vs_precedent"),
         typed_null("double").alias("delta_ratio_vs_precedent"),
-        "rang_commune",
+        *(["rang_commune"] if with_rank else []),
         *_fact_tail("source_fichier", load_ts))
     cols = ["fk_commune", "fk_election", "fk_candidat", "fk_type_resultat", "nb_voix",
             "ratio_voix_exprimes", "delta_voix_vs_precedent", "delta_ratio_vs_precedent",
-            "rang_commune", "fk_chargement", "source_fichier", "date_chargement"]
+            *(["rang_commune"] if with_rank else []), "fk_chargement", "source_fichier", "date_chargement"]
     order = ["code_commune", "__cand_id", *tiebreak, "nb_voix", "fk_commune"]
     return _keyed(out, order, cols, with_key)
 
@@ -365,9 +360,10 @@ UNEMPLOYED = ["chomeurs_15_24_ans", "chomeurs_25_54_ans", "chomeurs_55_64_ans"]
 
 
 def fact_economie(socio: DataFrame, communes: DataFrame, associations: DataFrame,
-                  load_ts=None, with_key: bool = True) -> DataFrame:
+                  load_ts=None, with_key: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """unemployment rate (percent, only when the workforce is > 0),
-    labour and business counts, associations (0 when none)."""
+    labour and business counts, associations (0 when none); ``keep``: source
+    columns to carry along."""
     s = join_current_commune(socio, communes)
     v = associations.select(F.col("code_commune").alias("__v_code"),
                             F.col("nb_associations").alias("__v_n"))
@@ -386,6 +382,7 @@ def fact_economie(socio: DataFrame, communes: DataFrame, associations: DataFrame
         F.col("nombre_creations_entreprises_2024").alias("creations_entreprises"),
         F.col("effectif_total_salarie_2024").alias("effectif_total_salarie"),
         F.coalesce(F.col("__v_n"), F.lit(0)).cast("long").alias("nb_associations"),
+        *keep,
         *_fact_tail("source_fichier", load_ts))
     cols = [c for c in out.columns if c != "code_commune"]
     return _keyed(out, ["code_commune", "fk_commune"], cols, with_key)

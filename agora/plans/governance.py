@@ -33,8 +33,24 @@ TABLE_OF = {
     T_ECONOMIE: "FACT_ECONOMIE_LOCALE",
 }
 
+
+
+def outside(value: str, low, high) -> str:
+    """The value is known and not in the range; NULL is no error."""
+    return f"NOT ({value} BETWEEN {low} AND {high})"
+
+
+def or_zero(value: str) -> str:
+    return f"coalesce({value}, 0)"
+
+
+def apart(a: str, b: str, most) -> str:
+    """Two known values differ by more than ``most``."""
+    return f"abs({a} - {b}) > {most}"
+
+
 # ---------------------------------------------------------------------------
-# The 18 rules (labels, predicates, thresholds and messages).
+# The 18 rules.  Fixed values: their labels, thresholds and messages.
 # ---------------------------------------------------------------------------
 RULES: list[Rule] = [
     Rule(1, 1, T_CRIME, "code_commune", "NOT_NULL", "3L", 95.0, 90.0,
@@ -42,7 +58,7 @@ RULES: list[Rule] = [
          error="code_commune IS NULL", warn_ratio=0.05),
     Rule(2, 1, T_CRIME, "taux_cambriolage", "RANGE[0,100]", "3L", 98.0, 95.0,
          "Taux cambriolage hors intervalle [0,100]",
-         error="taux_cambriolage < 0 OR taux_cambriolage > 100", warn_ratio=0.02),
+         error=outside("taux_cambriolage", 0, 100), warn_ratio=0.02),
     Rule(3, 1, T_CRIME, "taux_violence_famille | taux_violence_sexuelle | taux_vols_armes",
          "RANGE[>=0]", "PF", 99.0, 95.0, "Taux de criminalité négatifs détectés",
          error="taux_violence_famille < 0 OR taux_violence_sexuelle < 0 OR taux_vols_armes < 0"),
@@ -55,8 +71,8 @@ RULES: list[Rule] = [
     Rule(6, 1, T_SOCIO, "population_hommes + population_femmes vs population_totale_2022",
          "COHERENCE[H+F=TOT±1]", "3L", 95.0, 90.0,
          "Somme H+F doit être égale à population totale (±1)",
-         error="ABS((COALESCE(population_hommes, 0) + COALESCE(population_femmes, 0))"
-               " - COALESCE(population_totale_2022, 0)) > 1", warn_ratio=0.05),
+         error=apart(or_zero("population_hommes") + " + " + or_zero("population_femmes"),
+                     or_zero("population_totale_2022"), 1), warn_ratio=0.05),
     Rule(7, 1, T_ELECT, "code_commune", "NOT_NULL", "PF", 99.0, 95.0,
          "Vérification NOT NULL code_commune elections_communes",
          error="code_commune IS NULL"),
@@ -71,28 +87,28 @@ RULES: list[Rule] = [
          error="nb_voix IS NULL"),
     Rule(11, 2, T_RESULTS, "ratio_voix_exprimes", "RANGE[0,1]", "PF", 99.0, 95.0,
          "Ratio voix exprimées hors [0,1]",
-         error="ratio_voix_exprimes < 0 OR ratio_voix_exprimes > 1"),
+         error=outside("ratio_voix_exprimes", 0, 1)),
     Rule(12, 2, T_RESULTS, "fk_candidat", "REFERENTIAL[DIM_CANDIDAT]", "3L", 95.0, 90.0,
          "Lignes avec fk_candidat=0 : candidat non résolu dans DIM_CANDIDAT",
          error="fk_candidat = 0", warn_ratio=0.05),
     Rule(13, 2, T_PARTICIPATION, "taux_participation + taux_abstention", "COHERENCE[SUM≈1±0.01]",
          "PW", 98.0, 90.0, "Participation + abstention devrait être ≈ 1.0 (±0.01)",
-         error="ABS((taux_participation + taux_abstention) - 1.0) > 0.01"),
+         error=apart("taux_participation + taux_abstention", "1.0", 0.01)),
     Rule(14, 2, T_PARTICIPATION, "taux_participation", "RANGE[0,1]", "PF", 99.0, 95.0,
          "Taux participation hors [0,1] — division /100 manquante ?",
-         error="taux_participation < 0 OR taux_participation > 1"),
+         error=outside("taux_participation", 0, 1)),
     Rule(15, 2, T_REVENU, "fk_commune", "NOT_NULL", "PF", 99.0, 95.0,
          "Vérification NOT NULL fk_commune dans FACT_REVENU",
          error="fk_commune IS NULL"),
     Rule(16, 2, T_REVENU, "revenu_median_menages", "RANGE[>0 si non NULL]", "PW", 98.0, 95.0,
          "Revenu médian nul ou négatif (hors secrets INSEE)",
-         error="revenu_median_menages IS NOT NULL AND revenu_median_menages <= 0"),
+         error="revenu_median_menages <= 0"),
     Rule(17, 2, T_COMMUNE, "code_commune WHERE is_current=TRUE", "UNIQUE[code_commune, is_current]",
          "PF", 99.0, 99.0, "Doublons SCD2 : plusieurs lignes is_current=TRUE pour un même code",
          unique_key="code_commune"),
     Rule(18, 2, T_ECONOMIE, "taux_chomage", "RANGE[0,100 si non NULL]", "PF", 99.0, 95.0,
          "Taux chômage hors [0,100] — erreur de calcul actifs ?",
-         error="taux_chomage IS NOT NULL AND (taux_chomage < 0 OR taux_chomage > 100)"),
+         error=outside("taux_chomage", 0, 100)),
 ]
 BRONZE_RULES = [r for r in RULES if r.fk_chargement == 1]
 GOLD_RULES = [r for r in RULES if r.fk_chargement == 2]

@@ -101,7 +101,6 @@ ORDERS_CANDIDATES = Derivation("orders", (
     "ELSE ' ' || CAST(CAST(FLOOR(o_totalprice) AS BIGINT) % 1000 AS STRING) || '.0 ' END AS voix"))
 CANDIDATE_DEPARTMENTS = ("1", "2", "3")
 CANDIDATES_SOURCE = "orders.parquet"
-SEGMENT_EXCLUDED = "MACHINERY"
 UNKNOWN_CANDIDATE = (0, "APPLICABLE")
 
 # customer -> socio-demographic file (B4) ---------------------------------------
@@ -142,7 +141,7 @@ SOCIO_ITEMS = [
     f"{_dbl_text(2, 11, 5)} AS PPAT21",
     f"{_dbl_text(10, 13, 15)} AS PPSOC21",
     f"{_dbl_text(1, 17, 7)} AS PPLOGT21",
-    f"CASE WHEN {K} % 29 = 0 THEN 'S' WHEN {K} % 31 = 0 THEN '' WHEN {K} % 37 = 0 THEN '0' "
+    f"CASE WHEN {K} % 211 = 0 THEN 'S' WHEN {K} % 223 = 0 THEN '' WHEN {K} % 227 = 0 THEN '0' "
     f"ELSE CAST({POP} AS STRING) END AS P22_POP",
     f"{_int_text(180, 13, 600)} AS P22_POP0014",
     f"{_int_text(200, 3, 900)} AS P22_POP1529",
@@ -178,9 +177,7 @@ SOCIO_SOURCE = "customer.parquet"
 ORDERS_LABELS = Derivation("orders", (
     "CAST(o_custkey AS STRING) AS code_commune",
     "CASE WHEN o_custkey % 100 = 7 THEN 'Commune ' || CAST(o_custkey AS STRING) || '-' || o_orderstatus "
-    "ELSE 'Commune ' || CAST(o_custkey AS STRING) END AS libelle_commune",
-    "o_orderpriority"))
-LABEL_PRIORITY = "1-URGENT"
+    "ELSE 'Commune ' || CAST(o_custkey AS STRING) END AS libelle_commune"))
 CUSTOMER_COMMUNES = Derivation("customer", ("CAST(c_custkey AS STRING) AS code_commune",))
 
 # pages -> ingest manifest (I1) -------------------------------------------------
@@ -190,6 +187,10 @@ PAGES_MANIFEST = Derivation("pages", (
     f"split_part({PAGE_PATH}, '/', 2) AS category",
     f"regexp_extract({PAGE_PATH}, '([^/]*)$', 1) AS filename",
     "url"))
+# entries that were announced and never landed: one file per nation
+NATIONS_MANIFEST = Derivation("nation", (
+    "CAST(-1 - n_nationkey AS BIGINT) AS page_id", "'nation' AS category", "n_name || '.csv' AS filename",
+    "'absent://nation/' || CAST(n_nationkey AS STRING) AS url"))
 PAGES_LANDED = Derivation("pages", ("url", "octet_length(html) AS length"))
 BUCKET = "datalake"
 RAW_PREFIX = "raw_2"

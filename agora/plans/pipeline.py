@@ -16,7 +16,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from agora.operators.keys import scratch
+from agora.operators.quality import LOG_SCHEMA
 from agora.plans import bronze as B
 from agora.plans import gold as G
 from agora.plans import governance as GV
@@ -49,7 +52,7 @@ def read_raw(spark: SparkSession, paths: dict[str, str | Sequence[str]], sep: st
 
 
 def _store(df: DataFrame, warehouse: str, zone: str, name: str, mode: str = "overwrite",
-           sort: Sequence[str] = ()) -> DataFrame:
+           sort: Sequence[tuple[str, bool]] = ()) -> DataFrame:
     path = f"{warehouse.rstrip('/')}/{zone}/{name}"
     keys = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in sort]
     out = df.sortWithinPartitions(*keys) if keys else df
@@ -57,32 +60,51 @@ def _store(df: DataFrame, warehouse: str, zone: str, name: str, mode: str = "ove
     return df.sparkSession.read.parquet(path)
 
 
+def open_log(spark: SparkSession, warehouse: str, name: str, schema: T.StructType) -> str:
+    """A governance log by its declared schema, created if it is not there;
+    its path."""
+    path = f"{warehouse.rstrip('/')}/governance/{name}"
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return path
+
+
+def _append(df: DataFrame, path: str, schema: T.StructType) -> None:
+    """Appends rows in the log's declared columns and types."""
+    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.mode("append").parquet(path)
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
 def run(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
         start_ts: _dt.datetime | None = None, end_ts: _dt.datetime | None = None) -> dict[str, DataFrame]:
-    """Run the whole pipeline; returns the stored tables by name."""
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    start_ts, end_ts = start_ts or now, end_ts or now
-    audit_path = "governance/META_CHARGEMENT"
-    _store(GV.audit_frame(spark, GV.audit_start_rows(start_ts)), warehouse, "governance",
-           "META_CHARGEMENT", mode="append")
-
-    bronze = {name: _store(df, warehouse, "bronze", name, sort=BRONZE_ORDER.get(name, ()))
-              for name, df in B.build_bronze(raw, start_ts).items()}
-    _store(GV.run_quality(bronze, GV.BRONZE_RULES, start_ts), warehouse, "governance",
-           "DATA_QUALITY_LOG", mode="append")
-
-    gold = {name: _store(df, warehouse, "gold", name)
-            for name, df in G.build_gold(spark, bronze, start_ts).items()}
-    _store(GV.run_quality(gold, GV.GOLD_RULES, end_ts), warehouse, "governance",
-           "DATA_QUALITY_LOG", mode="append")
-
-    _store(GV.audit_frame(spark, GV.audit_end_rows(end_ts)), warehouse, "governance",
-           "META_CHARGEMENT", mode="append")
-    tables = {**bronze, **gold}
-    base = warehouse.rstrip("/")
-    tables["META_CHARGEMENT"] = spark.read.parquet(f"{base}/{audit_path}")
-    tables["DATA_QUALITY_LOG"] = spark.read.parquet(f"{base}/governance/DATA_QUALITY_LOG")
-    return tables
+    """Run the whole pipeline; returns the stored tables by name.
+
+    If a load fails its end rows say FAILED, with the error, and the error
+    goes on to the caller.  End rows are stamped when the load ends, unless
+    ``end_ts`` is given."""
+    start_ts = start_ts or _now()
+    audit = open_log(spark, warehouse, "META_CHARGEMENT", GV.AUDIT_SCHEMA)
+    quality = open_log(spark, warehouse, "DATA_QUALITY_LOG", LOG_SCHEMA)
+    _append(GV.audit_frame(spark, GV.audit_start_rows(start_ts)), audit, GV.AUDIT_SCHEMA)
+    try:
+        bronze = {name: _store(df, warehouse, "bronze", name, sort=BRONZE_ORDER.get(name, ()))
+                  for name, df in B.build_bronze(raw, start_ts).items()}
+        bronze["criminalite_commune_clean"] = _store(
+            B.build_clean_crime(bronze["criminalite_commune"]), warehouse, "bronze", "criminalite_commune_clean")
+        _append(GV.run_quality(bronze, GV.BRONZE_RULES, start_ts), quality, LOG_SCHEMA)
+        with scratch(spark):  # the copies that numbering needs go once the keyed tables are stored
+            gold = {name: _store(df, warehouse, "gold", name)
+                    for name, df in G.build_gold(spark, bronze, start_ts).items()}
+        _append(GV.run_quality(gold, GV.GOLD_RULES, end_ts or _now()), quality, LOG_SCHEMA)
+    except Exception as e:
+        _append(GV.audit_frame(spark, GV.audit_end_rows(end_ts or _now(), status=GV.STATUS_FAILED, error=str(e)[:1000])),
+                audit, GV.AUDIT_SCHEMA)
+        raise
+    _append(GV.audit_frame(spark, GV.audit_end_rows(end_ts or _now())), audit, GV.AUDIT_SCHEMA)
+    return {**bronze, **gold, "META_CHARGEMENT": spark.read.schema(GV.AUDIT_SCHEMA).parquet(audit),
+            "DATA_QUALITY_LOG": spark.read.schema(LOG_SCHEMA).parquet(quality)}
 
 
 def reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -11,8 +11,8 @@ every manifest entry gets a status, an object path and a size.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,12 +36,20 @@ def manifest_frame(spark: SparkSession, entries: list[dict]) -> DataFrame:
 
 def landed_listing(spark: SparkSession, root: str, bucket: str) -> DataFrame:
     """Files under ``root`` (the bucket's folder) with their size and their
-    object path ``bucket/<path below root>``; metadata only, content not read."""
-    name = os.path.basename(root.rstrip("/"))
-    rel = F.regexp_extract("path", "^.*?/" + re.escape(name) + "/(.*)$", 1)
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-                 .select("path", "length")
-                 .withColumn("object_path", F.concat_ws("/", F.lit(bucket), rel)))
+    object path ``bucket/<path below root>``; metadata only, content not read.
+
+    The source leaves out empty files, so the names come from its file index
+    (which the driver holds in any case) and a name without a row is empty."""
+    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    below = re.sub("/+", "/", re.sub(scheme, "", root)).rstrip("/")
+    if not below.startswith("/"):
+        raise ValueError(f"the root must be an absolute path or a URI: {root}")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    names = spark.createDataFrame([(re.sub(scheme, "", unquote(f)),) for f in files.inputFiles()], "path string")
+    sizes = files.select(F.regexp_replace("path", scheme, "").alias("path"), "length")
+    rel = F.substring("path", len(below) + 2, 1 << 20)
+    return names.join(sizes, "path", "left").select(
+        "path", F.coalesce("length", F.lit(0).cast("long")).alias("length"), F.concat_ws("/", F.lit(bucket), rel).alias("object_path"))
 
 
 def landing_report(manifest: DataFrame, landed: DataFrame, bucket: str, prefix: str,

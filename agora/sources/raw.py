@@ -2,15 +2,17 @@
 
 Inference would turn a code such as ``01001`` into the number 1001 and
 break the prefix filters, so every raw column is a ``StringType``.
-Delimiter and encoding are options because the source files do not state
-them.
+Delimiter, quoting and encoding are options because the source files do
+not state them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -19,27 +21,28 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_text_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
-                  sep: str = ",", encoding: str = "UTF-8", header: bool = True) -> DataFrame:
+                  sep: str = ",", encoding: str = "UTF-8", header: bool = True, quote: str = '"',
+                  escape: str = '"', multi_line: bool = False) -> DataFrame:
     """Read one or many CSV files as one relation of text columns.
 
-    With ``header=True`` columns are matched by name (``enforceSchema``
-    off), so files whose column order differs still line up; missing
-    columns are an error rather than a silent shift.
+    With a header each file is read by its own column names: further
+    columns and another order do no harm, an absent column is an error.
+    Without one, ``columns`` name the fields by position.  ``multi_line``
+    lets a quoted value hold line breaks; such a file is not split.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    return (spark.read.schema(text_schema(columns))
-                 .option("header", header)
-                 .option("enforceSchema", not header)
-                 .option("sep", sep)
-                 .option("encoding", encoding)
-                 .option("mode", "PERMISSIVE")
-                 .csv(list(paths)))
-
-
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A materialized table stored as Parquet under ``base/name``."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}")
+    reader = (spark.read.option("header", header).option("inferSchema", False).option("sep", sep)
+                   .option("encoding", encoding).option("quote", quote).option("escape", escape)
+                   .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
+    if not header:
+        reader = reader.schema(text_schema(columns))
+    parts = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        df = reader.csv(path)
+        absent = [c for c in columns if c not in df.columns]
+        if absent:
+            raise ValueError(f"{path} has no column {', '.join(absent)}; it has {', '.join(df.columns)}")
+        parts.append(df.select(*[F.col(f"`{c}`") for c in columns]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

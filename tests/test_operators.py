@@ -1,10 +1,14 @@
+import os
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from agora.operators.keys import dense_key, small_dense_key
+from agora.operators.keys import dense_key, range_layout, scratch, small_dense_key
 from agora.operators.quality import Rule, evaluate_rules, evaluate_suite, fail_count
 from agora.operators.reshape import append_rows, fill_zero, pivot_avg
 from agora.operators.windows import rank_desc, share_of_partition
+from agora.session import ensure_checkpoint_dir
 from conftest import SF01, rows
 
 
@@ -97,3 +101,57 @@ def test_one_aggregate_per_table(spark, tmp_path):
     plan = log._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert fail_count(log).first()[0] == 0
+
+
+def test_rank_desc_hot_key_spans_partitions(spark):
+    # one commune holds half the rows, with ties and NULLs; its values lie in several range partitions
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 50)).alias("k"),
+                                  F.when(F.col("id") % 11 > 0, F.col("id") % 700).cast("int").alias("v"))
+    exp = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last())))
+    for n in (1, 5, 9):
+        assert rows(rank_desc(df, "v", ["k"], "r", num_partitions=n)) == rows(exp)
+
+
+def test_dense_key_computes_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 1000, 1, 4).mapInArrow(count, "id long")
+    assert dense_key(df, [F.col("id").desc()], "k", num_partitions=4).agg(F.max("k")).first()[0] == 1000
+    assert seen.value == 1000
+
+
+def test_dense_key_splits_rows_with_one_key(spark):
+    df = spark.range(0, 4000).select(F.lit(1).alias("k"))
+    laid = range_layout(df, ["k"], 4)
+    assert max(r["count"] for r in laid.groupBy("__agora_pid").count().collect()) < 2500
+    assert sorted(r.id for r in dense_key(df, ["k"], "id", num_partitions=4).collect()) == list(range(1, 4001))
+
+
+def test_scratch_removes_copies(spark, tmp_path):
+    before = set(os.listdir(spark.sparkContext.getCheckpointDir().removeprefix("file:")))
+    with scratch(spark):
+        dense_key(spark.range(10).toDF("a"), ["a"], "id").write.parquet(str(tmp_path / "kept"))
+    assert set(os.listdir(spark.sparkContext.getCheckpointDir().removeprefix("file:"))) == before
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 10
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

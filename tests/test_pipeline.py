@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from agora.plans import bronze as B
 from agora.plans import gold as G
 from agora.plans import pipeline as P
+from agora.plans import governance as GOV
 from agora.plans.governance import RULES
 
 TS = dt.datetime(2026, 1, 1, 2, 0, 0)
@@ -166,3 +167,40 @@ def test_rerun_is_idempotent_and_logs_append(spark, raw_paths, tmp_path):
     assert second["criminalite_commune"].count() == n_crime
     assert second["META_CHARGEMENT"].count() == 8                             # audit appends
     assert second["DATA_QUALITY_LOG"].count() == 2 * len(RULES)
+
+
+def test_wide_reordered_files(spark, raw_paths, tmp_path):
+    """The same results from files with further columns in another order."""
+    def widened(path):
+        with open(path, encoding="utf-8", newline="") as f:
+            data = list(csv.reader(f, delimiter=";"))
+        out = tmp_path / path.rsplit("/", 1)[-1]
+        return write_csv(out, ["more", *reversed(data[0]), "other"], [["m", *reversed(r), "o"] for r in data[1:]])
+
+    wide = {k: [widened(x) for x in p] if isinstance(p, list) else widened(p) for k, p in raw_paths.items()}
+    narrow, wide = P.read_raw(spark, raw_paths, sep=";"), P.read_raw(spark, wide, sep=";")
+    for k in narrow:
+        assert sorted(map(repr, narrow[k].collect())) == sorted(map(repr, wide[k].collect()))
+
+
+def test_failed_load_is_logged(spark, raw_paths, tmp_path):
+    raw = P.read_raw(spark, raw_paths, sep=";")
+    raw["elections"] = raw["elections"].withColumn("inscrits", F.raise_error(F.lit("broken file")).cast("string")) \
+        if "inscrits" in raw["elections"].columns else raw["elections"].drop(raw["elections"].columns[0])
+    with pytest.raises(Exception):
+        P.run(spark, raw, str(tmp_path), start_ts=TS)
+    log = spark.read.parquet(f"{tmp_path}/governance/META_CHARGEMENT").orderBy("id_chargement").collect()
+    assert [r.statut for r in log] == ["IN_PROGRESS", "IN_PROGRESS", "FAILED", "FAILED"]
+    assert all(r.erreur_message for r in log[2:]) and all(r.date_chargement > TS for r in log[2:])
+
+
+def test_end_rows_are_stamped_at_the_end(spark, raw_paths, tmp_path):
+    tables = P.run(spark, P.read_raw(spark, raw_paths, sep=";"), str(tmp_path))
+    at = {r.id_chargement: r.date_chargement for r in tables["META_CHARGEMENT"].collect()}
+    assert at[3] > at[1] and tables["META_CHARGEMENT"].schema.fieldNames() == [f.name for f in GOV.AUDIT_SCHEMA]
+
+
+def test_code_lists(tables):
+    assert sorted((r.type_election, r.tour, r.annee_election) for r in tables["DIM_ELECTION"].collect())[0][1:] == (1, 2022)
+    assert [r.code for r in tables["DIM_TYPE_RESULTAT_VOTE"].orderBy("id_type_resultat").collect()] == ["CANDIDAT", "BLANC", "NUL"]
+    assert [r.code for r in tables["DIM_TYPE_PARTICIPATION"].orderBy("id_type_participation").collect()] == ["VOTANT", "ABSTENTION"]
