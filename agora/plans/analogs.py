@@ -236,6 +236,12 @@ def _q(builder):
     return run
 
 
+def q_share_of_partition(spark, sf):
+    """B6 in its declared order (O2): department, commune, votes descending."""
+    return _r6(candidates_pct(Build(spark, sf))).orderBy(
+        "code_departement", "code_commune", F.col("voix").desc_nulls_last())
+
+
 # W3 / G1 / G3-G7 ---------------------------------------------------------------
 def q_surrogate_key(spark, sf):
     orders = read_testdata(spark, sf, "orders").select("o_orderkey", "o_custkey")
@@ -416,7 +422,7 @@ QUERIES = {
     "manual_patch": _q(crime_patched),
     "null_to_zero": _q(crime_clean),
     "participation_ratios": _q(elections),
-    "share_of_partition": _q(candidates_pct),
+    "share_of_partition": q_share_of_partition,
     "surrogate_key": q_surrogate_key,
     "dim_calendar": q_dim_calendar,
     "dim_reference": q_dim_reference,

@@ -99,3 +99,9 @@ def test_shared_scans(spark):
 def test_three_landing_statuses(spark):
     got = {r.status for r in catalog.queries()["ingest_summary"](spark, "/root/testdata/sf0.01").collect()}
     assert got == {"OK", "ERREUR_DOWNLOAD", "ERREUR_MINIO"}
+
+
+def test_candidate_shares_come_in_order(spark):
+    got = [(r.code_departement, r.code_commune, r.voix is None, -(r.voix or 0))
+           for r in catalog.queries()["share_of_partition"](spark, SF001).collect()]
+    assert got == sorted(got)
