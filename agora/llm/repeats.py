@@ -15,7 +15,9 @@ none of which sees the whole corpus in one task:
    are repeats at once).  All occurrences of a window thus meet in one
    shard, where the operator's own index judges which start earlier.  An
    anchor with ``hot`` runs or more is split: its windows go one by one to
-   the shard of their own hash.
+   the shard of their own hash.  Rows stream through a shard's task in
+   order: copies of a text are settled as they pass, so what a task holds
+   is the distinct texts of one anchor, fewer than ``hot``.
 3. *Removal.*  The spans found go back to the document's block.
 
 The blocks are one shuffle of the documents, read by all three steps.
@@ -38,7 +40,7 @@ from agora.llm.common import binary_list, sorted_block, text_blocks
 
 LAST = np.iinfo(np.int64).max
 #: Documents of a block, in bytes of text; runs that make an anchor hot.
-BLOCK_BYTES, HOT_RUNS = 8 << 20, 100_000
+BLOCK_BYTES, HOT_RUNS = 8 << 20, 30_000
 
 
 def scattered(h: np.ndarray) -> np.ndarray:
@@ -171,45 +173,58 @@ def remove_repeats(docs: DataFrame, cutter: Units, block_bytes: int = BLOCK_BYTE
     sharded = sent.repartition("key").sortWithinPartitions("key", "part", "doc", "block", "place", "start")
 
     def judge(batches):
-        held = None
+        before, held = None, []  # the last row with a text; distinct texts of keys not judged yet
+        size = 0
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows])
-            key = rows["key"].to_numpy()
-            new = np.flatnonzero(key[1:] != key[:-1])
-            cut = int(new[-1]) + 1 if len(new) else 0  # the last key may go on
-            held = rows.slice(cut)
-            if cut >= 1 << 15:
-                yield from settled(rows.slice(0, cut).combine_chunks()).to_batches()
-            else:
-                held = rows
-        if held is not None and held.num_rows:
-            yield from settled(held.combine_chunks()).to_batches()
+            key, part = rows["key"].to_numpy(), rows["part"].combine_chunks()
+            known = ~part.is_null().to_numpy(zero_copy_only=False)
+            same = np.zeros(len(key), bool)
+            same[1:] = pc.fill_null(pc.equal(part[1:], part[:-1]), False).to_numpy(zero_copy_only=False) \
+                & (key[1:] == key[:-1])
+            if before is not None and len(key) and known[0]:
+                same[0] = before == (key[0], part[0].as_py())
+            if len(key) and known[-1]:
+                before = (key[-1], part[-1].as_py())
+            done = same | ~known  # copies of a text whose first place stands before them; spans already settled
+            yield from settled(rows.filter(pa.array(done))).to_batches()
+            first = rows.filter(pa.array(~done))
+            if not first.num_rows:
+                continue
+            held.append(first)
+            size += first.num_rows
+            if size >= 1 << 15 and held[0]["key"][0] != first["key"][-1]:
+                texts = pa.concat_tables(held)
+                cut = int(np.searchsorted(texts["key"].to_numpy(), key[~done][-1]))  # the last key may go on
+                yield from judged(texts.slice(0, cut).combine_chunks()).to_batches()
+                held, size = [texts.slice(cut).combine_chunks()], texts.num_rows - cut
+        if held:
+            yield from judged(pa.concat_tables(held).combine_chunks()).to_batches()
 
     def settled(rows):
+        start, windows = rows["start"].to_numpy(), rows["windows"].to_numpy()
+        known = rows["part"].is_valid().to_numpy()
+        end = np.where(known, start + windows + cutter.window - 1, windows)
+        return pa.Table.from_arrays([rows["block"], rows["place"], rows["start"], pa.array(end)], schema=_SPAN)
+
+    def judged(rows):
+        """Spans of distinct texts, whole keys at a time."""
         key, part = rows["key"].to_numpy(), rows["part"].combine_chunks()
         start, windows = rows["start"].to_numpy(), rows["windows"].to_numpy()
         block, place, again = rows["block"].to_numpy(), rows["place"].to_numpy(), rows["again"].to_numpy()
-        known = ~part.is_null().to_numpy(zero_copy_only=False)
-        same = pc.fill_null(pc.equal(part[1:], part[:-1]), False).to_numpy(zero_copy_only=False)
-        same = np.concatenate([[False], same & (key[1:] == key[:-1])])
-        end = np.where(known, start + windows + cutter.window - 1, windows)
-        done = same | ~known  # copies of a text whose first place stands before them; spans already settled
         group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
-        own = np.bincount(group, ~done) > 1
-        own |= np.bincount(group, again & ~done) > 0
-        ask = np.flatnonzero(~done & own[group])
+        own = (np.bincount(group) > 1) | (np.bincount(group, again) > 0)
+        ask = np.flatnonzero(own[group])
+        if not len(ask):
+            return _SPAN.empty_table()
         ask = ask[np.lexsort((start[ask], place[ask], block[ask], rows["doc"].to_numpy()[ask], group[ask]))]
-        out = [(block[done], place[done], start[done], end[done])]
-        if len(ask):
-            bounds = np.flatnonzero(np.diff(group[ask], prepend=-1))
-            texts = part.take(pa.array(ask)).to_pylist()
-            groups = [list(zip(texts[a:b], windows[ask[a:b]].tolist()))
-                      for a, b in zip(bounds.tolist(), [*bounds[1:].tolist(), len(ask)])]
-            found = np.array([(ask[bounds[g] + t], a, b) for g, t, a, b in cutter.judge(groups)], np.int64).reshape(-1, 3)
-            row, base = found[:, 0], start[found[:, 0]]
-            out.append((block[row], place[row], base + found[:, 1], base + found[:, 2]))
-        columns = [np.concatenate(c) for c in zip(*out)]
+        bounds = np.flatnonzero(np.diff(group[ask], prepend=-1))
+        texts = part.take(pa.array(ask)).to_pylist()
+        groups = [list(zip(texts[a:b], windows[ask[a:b]].tolist()))
+                  for a, b in zip(bounds.tolist(), [*bounds[1:].tolist(), len(ask)])]
+        found = np.array([(ask[bounds[g] + t], a, b) for g, t, a, b in cutter.judge(groups)], np.int64).reshape(-1, 3)
+        row, base = found[:, 0], start[found[:, 0]]
+        columns = (block[row], place[row], base + found[:, 1], base + found[:, 2])
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SPAN)], schema=_SPAN)
 
     spans = sharded.mapInArrow(judge, "block int, place int, start long, end long")
