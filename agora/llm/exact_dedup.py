@@ -45,7 +45,10 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest",
 
 
 def drop_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The documents that stay, with their own columns; a document without
-    ``doc_id`` stays unless its text has one."""
-    stays = exact_dedup(docs, keep).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(stays, docs["doc_id"].eqNullSafe(stays["__kept_id"]), "left_semi")
+    """The documents that stay, with their own columns.  The verdict is one
+    of id and text, so an id repeated with another text is judged anew; a
+    group without any id stays whole."""
+    gone = exact_dedup(docs, keep).where(~F.col("kept") & F.col("keep_id").isNotNull()) \
+        .select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_text")).distinct()
+    own = F.sha2(lower_ascii(F.coalesce(docs["text"], F.lit(""))), 256)
+    return docs.join(gone, (own == gone["__gone_text"]) & docs["doc_id"].eqNullSafe(gone["__gone_id"]), "left_anti")

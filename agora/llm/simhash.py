@@ -200,7 +200,9 @@ def simhash_dedup(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> D
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> DataFrame:
     """One document of each component stays, with its own columns; documents
-    whose component has no id stay."""
+    without an id stay, and so do all rows of an id repeated with several
+    texts if it stays for one of them: no component loses its last row."""
     found = simhash_dedup(docs, shingle_words, radius)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone_id")).distinct()
+    gone = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__gone_id")) \
+        .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays")).where(~F.col("stays")).select("__gone_id")
     return docs.join(gone, docs["doc_id"] == gone["__gone_id"], "left_anti")

@@ -56,6 +56,15 @@ def test_exact_keeps_columns_and_takes_empty_tables(spark):
     assert drop_copies(docs.limit(0)).count() == 0 and exact_dedup(docs.limit(0)).count() == 0
 
 
+def test_a_repeated_id_loses_no_group(spark):
+    """An id with two texts: dropped for one, the only holder of the other."""
+    rows = [(1, "one " * 30), (5, "one " * 30), (5, "other " * 40), (None, "two"), (None, "one " * 30)]
+    assert sorted((r.doc_id or 0, r.text[:3]) for r in drop_copies(docs_of(spark, rows)).collect()) \
+        == [(0, "two"), (1, "one"), (5, "oth")]
+    near = drop_near_copies(docs_of(spark, [r for r in rows if r[0]])).collect()
+    assert {r.text[:3] for r in near} == {"one", "oth"}
+
+
 def components_of(ids, linked):
     par = list(range(len(ids)))
 
