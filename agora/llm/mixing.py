@@ -27,6 +27,8 @@ from agora.llm.common import WORD, store
 ROUNDS = 4
 #: Words of a block; blocks of a shard at least; shards at most.
 BLOCK_WORDS, SHARD_BLOCKS, MAX_SHARDS = 64, 1024, 4096
+#: Slots written out from one row of counts at a time.
+CHUNK = 8192
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
@@ -145,8 +147,11 @@ def draw_slots(sources: DataFrame, seed: int) -> DataFrame:
         .withColumn("last", F.expr(f"cast(upto as {wide}) * cast(slots as {wide}) div cast(every as {wide}) - 1"))
     counts = store(counts.where("last >= first").select("shard", "n", "blocks", "first", "last"), "mix-counts")
     index = F.col("index")
-    slots = counts.repartition(max(1, total // 100_000), "shard", "n") \
-        .select("shard", "n", "blocks", F.explode(F.sequence("first", "last")).alias("index")) \
+    chunks = counts.select("shard", "n", "blocks", "last", F.explode(
+        F.sequence(F.col("first"), F.col("last"), F.lit(CHUNK).cast("long"))).alias("lo"))
+    slots = chunks.repartition(max(1, total // (16 * CHUNK)), "shard", "n", "lo") \
+        .select("shard", "n", "blocks", F.explode(
+            F.sequence("lo", F.least("last", F.col("lo") + (CHUNK - 1)))).alias("index")) \
         .withColumn("block", F.pmod(index, F.col("blocks")))
     return permuted(slots, "block", "blocks", F.col("n"), F.floor(index / F.col("blocks")), F.lit(seed)) \
         .select("shard", "n", "index", "block")
