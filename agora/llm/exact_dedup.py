@@ -21,6 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from agora.llm.common import lower_ascii
 
@@ -45,10 +46,16 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest",
 
 
 def drop_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The documents that stay, with their own columns.  The verdict is one
-    of id and text, so an id repeated with another text is judged anew; a
-    group without any id stays whole."""
-    gone = exact_dedup(docs, keep).where(~F.col("kept") & F.col("keep_id").isNotNull()) \
-        .select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_text")).distinct()
-    own = F.sha2(lower_ascii(F.coalesce(docs["text"], F.lit(""))), 256)
-    return docs.join(gone, (own == gone["__gone_text"]) & docs["doc_id"].eqNullSafe(gone["__gone_id"]), "left_anti")
+    """One row of each text stays, with its own columns: the one with the
+    ``keep`` id, a null id last.  Among rows that share id and text a hash of
+    their columns decides; rows equal in all of them are one and the same.
+    The rows travel in the aggregate, partial before the shuffle, so nothing
+    joins back and no key is hot."""
+    plain = [f"`{f.name}`" for f in docs.schema if isinstance(f.dataType, AtomicType)]
+    no_id = F.col("doc_id").isNull()
+    pick, first = {"smallest": (F.min_by, no_id), "largest": (F.max_by, ~no_id)}[keep]
+    norm = lower_ascii(F.coalesce("text", F.lit("")))
+    return docs.groupBy(F.xxhash64(norm).alias("__hash"), norm.alias("__norm")) \
+        .agg(pick(F.struct(*[F.col(f"`{c}`") for c in docs.columns]),
+                  F.struct(first.alias("a"), F.col("doc_id").alias("b"), F.xxhash64(*plain).alias("c"))).alias("__row")) \
+        .select("__row.*")

@@ -55,15 +55,16 @@ def fingerprint(text: bytes, shingle_words: int) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp`` (the 64 bits as a signed long) and the long columns ``also``."""
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, shingle_words) for t in binary_list(batch, "text")], dtype="<u8")
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps.view("<i8"))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps.view("<i8")), *(batch[c] for c in also)],
+                                             ["doc_id", "fp", *also])
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return read.mapInArrow(run, "doc_id long, fp long")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *also)
+    return read.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *also)))
 
 
 # ---- bit-sliced comparison ---------------------------------------------
@@ -185,24 +186,33 @@ def near_links(distinct: DataFrame, radius: int) -> DataFrame:
     return spread.mapInArrow(run, "u long, v long").distinct()
 
 
+def rooted(first: DataFrame, radius: int) -> DataFrame:
+    """``first`` (one row per ``fp``) with the ``root`` of its component."""
+    roots = connected_components(near_links(first.select("fp"), radius))
+    return first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_dedup(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> DataFrame:
     """One row per document: ``doc_id, fingerprint`` (16 hex digits),
     ``component_id`` (smallest ``doc_id`` reachable over links)."""
     fps = store(fingerprints(docs, shingle_words), "fingerprints")
-    first = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = connected_components(near_links(first.select("fp"), radius))
-    member = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    member = rooted(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), radius)
     least = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return fps.join(member.join(least, "root").select("fp", "component_id"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each component stays, with its own columns; documents
-    without an id stay, and so do all rows of an id repeated with several
-    texts if it stays for one of them: no component loses its last row."""
-    found = simhash_dedup(docs, shingle_words, radius)
-    gone = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__gone_id")) \
-        .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays")).where(~F.col("stays")).select("__gone_id")
-    return docs.join(gone, docs["doc_id"] == gone["__gone_id"], "left_anti")
+def drop_near_copies(docs: DataFrame, shingle_words: int = 3, radius: int = 2, judge_null_ids: bool = False) -> DataFrame:
+    """One row of each component stays, with its own columns: the one with
+    the smallest ``doc_id``, then fingerprint, then stored row number, so
+    that an id repeated with one text or several is judged row by row.  Rows
+    without an id stay beside it, or with ``judge_null_ids`` come last in it."""
+    rows = store(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    fps = store(fingerprints(rows, shingle_words, ("__row",)), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "__row")
+    least = rooted(fps.groupBy("fp").agg(F.min(rank).alias("first")), radius) \
+        .groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    stay = least.select("__row")
+    if not judge_null_ids:
+        stay = least.where("not no_id").select("__row").unionByName(fps.where("doc_id is null").select("__row"))
+    return rows.join(stay, "__row", "left_semi").drop("__row")

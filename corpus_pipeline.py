@@ -29,13 +29,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest ``doc_id`` stays."""
+    """Of rows with equal texts one stays, with the smallest ``doc_id`` (null last)."""
     return drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the smallest ``doc_id`` stays."""
-    return drop_near_copies(docs, shingle_words=3, radius=2)
+    """Of each group of linked fingerprints one row stays, with the smallest ``doc_id`` (null last)."""
+    return drop_near_copies(docs, shingle_words=3, radius=2, judge_null_ids=True)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

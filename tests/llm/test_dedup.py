@@ -65,6 +65,21 @@ def test_a_repeated_id_loses_no_group(spark):
     assert {r.text[:3] for r in near} == {"one", "oth"}
 
 
+def test_one_row_of_each_text_stays(spark):
+    """Repeated and null ids: one row per text, and one per component."""
+    a, b, c = "one " * 30, "other " * 40, "third thing"
+    rows = [(1, a)] * 3 + [(1, b), (5, a), (5, b), (None, a), (None, a.upper())] + [(None, c)] * 4
+    docs = docs_of(spark, rows).repartition(3)
+    for keep, want in (("smallest", [(0, c), (1, a), (1, b)]), ("largest", [(0, c), (5, a), (5, b)])):
+        assert sorted((r.doc_id or 0, r.text) for r in drop_copies(docs, keep).collect()) == want
+    left = drop_near_copies(docs, judge_null_ids=True)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == [(0, c), (1, a), (1, b)]
+    assert sorted((r.doc_id or 0, r.text) for r in drop_near_copies(docs.where("doc_id is not null")).collect()) == [(1, a), (1, b)]
+    near = [(7, " ".join(f"w{i}" for i in range(300))), (None, " ".join(f"W{i}" for i in range(300)))]
+    assert [r.doc_id for r in drop_near_copies(docs_of(spark, near), judge_null_ids=True).collect()] == [7]
+
+
 def components_of(ids, linked):
     par = list(range(len(ids)))
 
