@@ -8,6 +8,10 @@ line where a browser leaves a margin, list items get their marker and
 indent, table cells are aligned in columns (a cell over ``WIDE`` characters
 does not widen its column), ``pre`` keeps its spaces.
 
+Inside ``svg`` the content of ``text`` and ``foreignObject`` is visible, of
+``math`` all but annotations; both close at a self-closing slash and before
+HTML tags that can't stand in them.
+
 Invisible: ``head`` content, scripts, styles, templates, comments, replaced
 content, ``hidden``, ``display:none``, ``visibility:hidden`` (until a
 descendant is visible again), all of a closed ``details`` but its summary.
@@ -29,7 +33,15 @@ from pyspark.sql import DataFrame
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe noembed noframes noscript xmp".split())
 UNSEEN = frozenset("head script style title template iframe noembed noframes noscript datalist object "
-                   "video audio canvas svg math map".split())
+                   "video audio canvas".split())
+#: Inside svg only ``text`` is drawn; these, and what math adds beside its formula, are not.
+DRAWN = frozenset(["text"])
+UNDRAWN = {"svg": frozenset("title desc metadata defs symbol clippath mask pattern marker filter style script".split()),
+           "math": frozenset(["annotation", "annotation-xml"])}
+#: Foreign elements whose content is HTML, and HTML tags that close an open svg or math.
+HOLDS_HTML = {"svg": frozenset("foreignobject desc title".split()), "math": frozenset("mi mo mn ms mtext".split())}
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing "
+                     "menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 #: Blank lines around a block.
 MARGIN = {t: 1 for t in "p h1 h2 h3 h4 h5 h6 ul ol menu dl blockquote pre xmp table figure fieldset hr".split()} | {
     t: 0 for t in "html body div section article aside header footer nav main address form center details summary dir "
@@ -43,6 +55,7 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"d
     t: ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}) for t in ("thead", "tbody", "tfoot")}
 P_STAYS = frozenset("li dt dd option optgroup select tr td th caption".split())
 BARRIER = frozenset("table td th caption button object template".split())
+SCOPE = BARRIER | HOLDS_HTML["svg"] | HOLDS_HTML["math"]
 HEAD_ONLY = frozenset("head title meta link base style script noscript template html".split())
 WIDE, GAP, INDENT = 60, "  ", "  "
 
@@ -54,8 +67,8 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 class Box:
     """An open element: what it holds so far, laid out."""
 
-    def __init__(self, tag: str, attrs: dict[str, str], shown: bool, pre: bool):
-        self.tag, self.attrs, self.shown, self.pre = tag, attrs, shown, pre
+    def __init__(self, tag: str, attrs: dict[str, str], shown: bool, pre: bool, space: str = ""):
+        self.tag, self.attrs, self.shown, self.pre, self.space = tag, attrs, shown, pre, space
         self.lines: list[str] = []
         self.inline: list[str] = []
         self.gap = 0
@@ -160,6 +173,11 @@ class Page:
                 close = html.find("-->", lt + 2)
                 at = end if close < 0 else close + 3
                 continue
+            if html.startswith("<![CDATA[", lt) and self.stack[-1].space:
+                close = html.find("]]>", lt)
+                self._text(html[lt + 9:close if close >= 0 else end], raw=True)
+                at = end if close < 0 else close + 3
+                continue
             m = _TAG.match(html, lt)
             if m:
                 at = m.end()
@@ -167,8 +185,15 @@ class Page:
                 if m[1]:
                     self._end(tag)
                     continue
-                attrs = {a[1].lower(): unescape(next((x for x in a.groups()[1:] if x is not None), ""))
-                         for a in _ATTR.finditer(m[3])} if m[3] and m[3] != "/" else {}
+                found = list(_ATTR.finditer(m[3])) if m[3] and m[3] != "/" else []
+                attrs = {a[1].lower(): unescape(next((x for x in a.groups()[1:] if x is not None), "")) for a in found}
+                self._break_out(tag, attrs)
+                if tag in ("svg", "math") or self._foreign():
+                    self._start(tag, attrs)
+                    # the slash may belong to a value without quotes
+                    if m[3][-1:] == "/" and not (found and found[-1][4] and found[-1].end() == len(m[3])):
+                        self._pop()
+                    continue
                 self._start(tag, attrs)
                 if tag in RAW and m[3][-1:] != "/":
                     close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
@@ -200,11 +225,25 @@ class Page:
             return
         top.text(s if raw else unescape(s), top.pre)
 
+    def _foreign(self) -> bool:
+        """Whether a tag here names an element of svg or math."""
+        top = self.stack[-1]
+        return bool(top.space) and top.tag not in HOLDS_HTML[top.space] and "html" not in (
+            top.attrs.get("encoding", "").lower() if top.tag == "annotation-xml" else "")
+
+    def _break_out(self, tag: str, attrs: dict[str, str] = {}) -> None:
+        if tag in BREAKOUT or tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size")):
+            while self._foreign():
+                self._pop()
+
     def _start(self, tag: str, attrs: dict[str, str]) -> None:
         if tag not in HEAD_ONLY and self.open.get("head"):
             self._end("head")
+        if self._foreign():
+            self._push(tag, attrs)
+            return
         if tag in MARGIN and tag not in P_STAYS and self.open.get("p"):
-            self._close({"p"}, BARRIER)
+            self._close({"p"}, SCOPE)
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
         if tag in ("td", "th") and self.stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
@@ -226,25 +265,34 @@ class Page:
     def _push(self, tag: str, attrs: dict[str, str]) -> None:
         top = self.stack[-1]
         style = attrs.get("style", "").lower().replace(" ", "") if "style" in attrs else ""
-        gone = tag in UNSEEN or "hidden" in attrs or "display:none" in style or top.attrs.get("#gone") is not None
+        space = tag if tag in ("svg", "math") else top.space if self._foreign() else ""
+        gone = tag in UNDRAWN.get(space, UNSEEN) or "hidden" in attrs or "display:none" in style or top.attrs.get("#gone") is not None
         if top.tag == "details" and "open" not in top.attrs and tag != "summary":
             gone = True
         veiled = "visibility:hidden" in style or (top.attrs.get("#veil") is not None and "visibility:visible" not in style)
         if gone or veiled:
             attrs = attrs | ({"#gone": ""} if gone else {}) | ({"#veil": ""} if veiled else {})
-        shown = not gone and not veiled and not (tag == "details" and "open" not in attrs)
+        drawn = space != "svg" or tag in DRAWN or top.space == "svg" and top.attrs.get("#drawn") is not None
+        if space and drawn:
+            attrs = attrs | {"#drawn": ""}
+        shown = not gone and not veiled and drawn and not (tag == "details" and "open" not in attrs)
         if top.tag == "details" and tag == "summary" and not gone and not veiled:
             shown = True
-        box = Box(tag, attrs, shown, tag in ("pre", "textarea", "xmp") or top.pre and tag not in ("table", "td", "th"))
-        if tag not in MARGIN and tag not in TABLE_PARTS:  # an inline element writes into its block's line
+        box = Box(tag, attrs, shown, tag in ("pre", "textarea", "xmp") or top.pre and tag not in ("table", "td", "th"),
+                  space)
+        if space or tag not in MARGIN and tag not in TABLE_PARTS:  # an inline element writes into its block's line
             box.inline, box.lines = top.inline, top.lines
             box.attrs = attrs | {"#inline": ""}
+            if space == "svg" and tag in DRAWN:  # stands apart from other texts
+                box.text(" ", False)
         if tag == "optgroup" and shown:
             box.block([attrs.get("label", "")] if attrs.get("label") else [], 0)
         self.stack.append(box)
         self.open[tag] = self.open.get(tag, 0) + 1
 
     def _end(self, tag: str) -> None:
+        if tag in ("br", "p"):
+            self._break_out(tag)
         if tag == "br":
             self._start("br", {})
         elif tag == "p" and not self.open.get("p"):
@@ -281,6 +329,8 @@ class Page:
         box, top = self.stack.pop(), self.stack[-1]
         self.open[box.tag] -= 1
         if "#inline" in box.attrs:
+            if box.space == "svg" and box.tag in DRAWN:
+                box.text(" ", False)
             top.inline, top.gap = box.inline, max(top.gap, box.gap) if box.gap != top.gap else top.gap
             return
         box.close_line()

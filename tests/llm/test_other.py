@@ -215,6 +215,18 @@ def test_html(html, text):
     assert Page(html).text == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<p>a <svg/> b</p>c", "a b\n\nc"), ('a <svg class="i"/>b <math/>c', "a b c"), ("a<svg class=i /> b", "a b"),
+    ("a<svg class=i/><text>t</text><g>no</g></svg> b", "a t b"), ("a<svg><path d='x'><div>b</div>c", "a\nb\nc"),
+    ("<svg><title>T</title><text>x</text><text>y <tspan>z</tspan></text><defs><text>no</text></defs></svg>", "x y z"),
+    ("<svg><style><![CDATA[a>b]]></style><foreignObject><p>in</p></foreignObject></svg>out", "in\n\nout"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "x=1"),
+    ("<map name=m>see <area href=a><a href=b>link</a></map>", "see link"), ("a<svg><font color=red>b</font>", "ab")])
+def test_html_foreign_elements(html, text):
+    page = Page(html)
+    assert (page.text, page.title) == (text, None)
+
+
 def test_html_pages(spark):
     from html.parser import HTMLParser
 
