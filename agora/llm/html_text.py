@@ -47,6 +47,12 @@ MARGIN = {t: 1 for t in "p h1 h2 h3 h4 h5 h6 ul ol menu dl blockquote pre xmp ta
     t: 0 for t in "html body div section article aside header footer nav main address form center details summary dir "
                   "dt dd li option optgroup select legend figcaption caption hgroup search textarea".split()}
 TABLE_PARTS = frozenset("thead tbody tfoot tr td th caption colgroup col".split())
+#: Table parts that hold no text of their own: it is shown before their table.
+FOSTERED = frozenset("table thead tbody tfoot tr colgroup".split())
+#: The open part that a table part goes into, whatever stands between.
+CONTEXT = {t: frozenset(["table"]) for t in ("thead", "tbody", "tfoot", "caption", "colgroup")} | {
+    "tr": frozenset("table thead tbody tfoot".split())} | {
+    t: frozenset("table thead tbody tfoot tr".split()) for t in ("td", "th")}
 #: An opening tag closes these open ones, up to the nearest of the second set.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
@@ -218,12 +224,13 @@ class Page:
         if top.tag == "head" and s.strip():
             self._end("head")
             top = self.stack[-1]
-        if not top.shown or top.rows is not None or top.tag == "tr":
-            if top.shown and s.strip():  # text between cells is shown before its table
-                host = next(b for b in reversed(self.stack) if b.rows is None and b.tag not in TABLE_PARTS)
-                host.text(unescape(s), False)
-            return
-        top.text(s if raw else unescape(s), top.pre)
+        host = self._line()
+        if top.shown and (host is top or s.strip()):
+            host.text(s if raw else unescape(s), top.pre and host is top)
+
+    def _line(self) -> Box:
+        """Where text goes: between cells, before the table."""
+        return next(b for b in reversed(self.stack) if b.tag not in FOSTERED or b.space)
 
     def _foreign(self) -> bool:
         """Whether a tag here names an element of svg or math."""
@@ -246,9 +253,11 @@ class Page:
             self._close({"p"}, SCOPE)
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
+        if tag in CONTEXT and self.open.get("table"):
+            self._back_to(CONTEXT[tag])
         if tag in ("td", "th") and self.stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
             self._push("tr", {})
-        top = self.stack[-1]
+        top = self._line()
         if tag == "br" or tag == "hr":
             if top.shown:
                 if tag == "br" and top.pre:
@@ -262,6 +271,16 @@ class Page:
         if tag not in VOID and tag not in ("html", "body"):
             self._push(tag, attrs)
 
+    def _back_to(self, context: frozenset[str]) -> None:
+        """Closes what stands between a table's parts and the next one."""
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag in context:
+                while len(self.stack) > i + 1:
+                    self._pop()
+                return
+            if self.stack[i].tag == "template":
+                return
+
     def _push(self, tag: str, attrs: dict[str, str]) -> None:
         top = self.stack[-1]
         style = attrs.get("style", "").lower().replace(" ", "") if "style" in attrs else ""
@@ -281,7 +300,8 @@ class Page:
         box = Box(tag, attrs, shown, tag in ("pre", "textarea", "xmp") or top.pre and tag not in ("table", "td", "th"),
                   space)
         if space or tag not in MARGIN and tag not in TABLE_PARTS:  # an inline element writes into its block's line
-            box.inline, box.lines = top.inline, top.lines
+            line = self._line()
+            box.inline, box.lines = line.inline, line.lines
             box.attrs = attrs | {"#inline": ""}
             if space == "svg" and tag in DRAWN:  # stands apart from other texts
                 box.text(" ", False)
@@ -298,7 +318,7 @@ class Page:
         elif tag == "p" and not self.open.get("p"):
             self._close_to_block()
         elif self.open.get(tag):
-            stop = {"table"} if tag in TABLE_PARTS else set() if tag == "table" else BARRIER - {tag}
+            stop = {"table"} if tag in TABLE_PARTS else set() if tag in ("table", "template") else BARRIER - {tag}
             for box in reversed(self.stack):
                 if box.tag == tag:
                     while self.stack[-1] is not box:
@@ -331,7 +351,8 @@ class Page:
         if "#inline" in box.attrs:
             if box.space == "svg" and box.tag in DRAWN:
                 box.text(" ", False)
-            top.inline, top.gap = box.inline, max(top.gap, box.gap) if box.gap != top.gap else top.gap
+            line = self._line()
+            line.inline, line.gap = box.inline, max(line.gap, box.gap) if box.gap != line.gap else line.gap
             return
         box.close_line()
         lines, tag = box.lines, box.tag
@@ -342,10 +363,11 @@ class Page:
             if table is not None:
                 if tag == "tr":
                     table.rows.append(box.attrs.get("#cells", []))
-                elif box.shown and top.tag == "tr":
+                elif (box.shown or lines) and top.tag == "tr":
                     top.attrs.setdefault("#cells", []).append((lines, _number(box.attrs.get("colspan"), 1, 1000) or 1,
                                                               _number(box.attrs.get("rowspan"), 1, 65534) or 1))
-                return
+                if tag == "tr" or top.tag == "tr":
+                    return
         elif tag == "li" and box.shown:
             mark = "- "
             if top.tag == "ol":
@@ -358,11 +380,7 @@ class Page:
             lines = [INDENT + x if x else x for x in lines]
         if not (box.shown or lines):
             return
-        host = top
-        if top.rows is not None or top.tag in ("tr", "thead", "tbody", "tfoot"):
-            if tag in TABLE_PARTS and tag != "caption":
-                return
-            host = next(b for b in reversed(self.stack) if b.rows is None and b.tag not in TABLE_PARTS)
+        host = self._line()
         if tag in MARGIN or tag in TABLE_PARTS:
             nested = tag in ("ul", "ol", "menu") and any(b.tag == "li" for b in self.stack)
             host.block(lines, 0 if nested else MARGIN.get(tag, 0))

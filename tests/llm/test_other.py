@@ -227,6 +227,20 @@ def test_html_foreign_elements(html, text):
     assert (page.text, page.title) == (text, None)
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<table><tr><form><td>cell</td></form><td>b</td></tr></table>", "cell  b"), ("<table><center><td>x</table>", "x"),
+    ("<table><tr><b>x</b> y<td>c<tr><td>d</table>z", "x y\n\nc\nd\n\nz"),
+    ("<table><tbody>one<b> two</b><tr><td>c</tbody><tfoot><i>three</i></table>", "one two\nthree\n\nc"),
+    ("<table><thead><div>d</div><tr><th>h</thead><colgroup>k</table>", "d\nk\n\nh"),
+    ("<table><form><tr><td>a<td>b</tr></form><tr><td>c</table>", "a  b\nc"),
+    ("<table><tr><div><td>a</div><td>b</table>", "a  b"), ("<table><tr><input type=submit value=Go>a<br>b<td>c</table>", "Goa\nb\n\nc"),
+    ("<table><caption>t<td>x</table>", "t\n\nx"), ("<table><tr><td>o<table><tr>in<td>x</table></table>", "oin\n\nx"),
+    ("<table><tr><td style='visibility:hidden'>n<b style='visibility:visible'>y</b></table>", "y"),
+    ("<table><template><tr><td>no</template><tr><td>x</table>", "x"), ("<table><tr><svg/><td>a</table>", "a")])
+def test_html_misnested_tables(html, text):
+    assert Page(html).text == text
+
+
 def test_html_pages(spark):
     from html.parser import HTMLParser
 
