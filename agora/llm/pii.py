@@ -43,7 +43,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_ANY = re.compile(r"[0-9@]|\bdot\b", re.I)
+#: A text without any of these has neither base spans nor regions.
+_ANY = re.compile(r"[0-9@]|[\[({]\x20?at\x20?[\])}]|\x20at\x20", re.I)
 #: Regions: digit groups at most three separators apart; a spelled-out e-mail.
 _DIGITS = re.compile(r"[+(]{0,2}[0-9]++(?:[\x20().-]{1,3}+[0-9]++)*+")
 _AT = re.compile(r"\x20?[\[({]\x20?at\x20?[\])}]\x20?|\x20at\x20", re.I)
@@ -260,7 +261,7 @@ def _rewritten(text: str, kind: int) -> list[str]:
     if kind == 0:
         local, domain = text.split("@")
         return [f"{local} [at] {domain.replace('.', ' [dot] ')}", f"{local} at {domain.replace('.', ' dot ')}",
-                f"{local}(at){domain.replace('.', '(dot)')}"]
+                f"{local}(at){domain.replace('.', '(dot)')}", f"{local} [at] {domain}", f"{local}(at){domain}"]
     if kind == 3:
         bare = text[1:]
         cut = re.sub(r"^[0-9]{1,3}[\x20.-]+", "", bare)

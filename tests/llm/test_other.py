@@ -186,6 +186,12 @@ def test_pii(spark):
     added = [t[a:b] for t in ["mail bob.smith [at] example [dot] com now", "call (555) 123-4567 today"]
              for _, a, b, base in find_spans(t, weights) if not base]
     assert added == ["bob.smith [at] example [dot] com", "(555) 123-4567"]
+    for words, mail in [("write to {} now", "john.doe [at] example.com"), ("write to {}, please", "john (at) example.com"),
+                        ("mail {}", "bob.smith(at)example.org"), ("mail {} today", "bob at example dot com")]:
+        for tail in ("", " or in room 7"):  # a digit elsewhere changes nothing
+            text = words.format(mail) + tail
+            assert [text[a:b] for _, a, b, base in find_spans(text, weights) if not base] == [mail]
+    assert [r.text for r in redact(docs_of(spark, [(1, "ask john [at] example.com", None, None)]), weights).collect()] == ["ask [email]"]
     for t in ["meet at home. dot com", "12345678 on 2024-01-15", "", "no digits"]:
         assert find_spans(t, weights) == []
     odd = docs_of(spark, AWKWARD + [(9, "a@b.c, 10.0.0.1", None, None)])
