@@ -15,8 +15,8 @@ those documents fall below, and at most ``CHANCE`` times an even guess.
 
 Defined results: null text and text without a letter are ``und`` with
 score 0 and rejected; an empty ``lang`` is a value like any other, a null
-one is no label; without any label all is ``und``; rows that repeat a
-``doc_id`` each get their own result; an empty table gives an empty
+one is no label; without any label all is ``und`` with score 0, and only
+text without a letter is rejected; rows that repeat a ``doc_id`` each get their own result; an empty table gives an empty
 result; columns that clash with the added ones are replaced.
 """
 
@@ -202,12 +202,13 @@ def identify_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame
         model = sent.value
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            spoken = rows["__letter"].to_numpy() & (model is not None)
+            letter = rows["__letter"].to_numpy()
+            spoken = letter & (model is not None)
             pred, score = np.full(len(spoken), UNKNOWN, object), np.zeros(len(spoken))
             if spoken.any():
                 best, score[spoken] = model.predict(binary_list(rows.filter(pa.array(spoken)), "text"))
                 pred[spoken] = np.array(model.langs, object)[best]
-            rejected = ~spoken | (score < (model.threshold if model else 1))
+            rejected = ~letter | (score < (model.threshold if model else 0))
             rows = rows.drop_columns(["__letter"])
             for f, values, kind in zip(added, (pred, score, rejected), (pa.string(), pa.float64(), pa.bool_())):
                 rows = rows.append_column(f.name, pa.array(values, kind))

@@ -154,6 +154,11 @@ def test_language_held_out_accuracy(spark):
     assert {r.lang_pred for r in identify_language(odd, train_language_model(odd.where("doc_id = 8"), F.lit(True))).collect()} == {"und", "de"}
 
 
+def test_documents_without_any_label_stay(spark):
+    odd = docs_of(spark, AWKWARD).withColumn("lang", F.lit(None).cast("string")).drop("lang_pred")
+    assert {r.doc_id for r in drop_rejected(odd, train_language_model(odd, F.lit(True))).collect()} == {5, 6, 8}
+
+
 # ---- personal data --------------------------------------------------------
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
