@@ -97,9 +97,14 @@ def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     computes the input a single time.
     """
     out, path = _written(df, name)
+    in_scratch(path)
+    return out
+
+
+def in_scratch(path: str) -> None:
+    """Leaves a written table to the innermost open ``scratch`` block, if any."""
     if _scratch:
         _scratch[-1].append(path)
-    return out
 
 
 def remove(spark: SparkSession, path: str) -> None:
