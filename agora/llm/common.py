@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agora.operators.keys import in_scratch
 from agora.session import ensure_checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -29,12 +30,19 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage at files that every executor sees, so an executor
     lost later costs no recomputation, and the input runs once however
-    often the result is read.
+    often the result is read.  An open ``scratch`` removes it at its end.
     """
+    out, path = store_at(df, name)
+    in_scratch(path)
+    return out
+
+
+def store_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``store`` with the path, for a caller that removes the table itself."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/agora-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)  # many small files: no direct buffers kept, as snappy does
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:

@@ -46,3 +46,31 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(len(d.w) as bigint) -
        sha256(coalesce(kept.text, '')) as kept_sha256
 from d left join kept using (doc_id)
 """
+
+
+def vector_codes(parts: int, entries: int, rounds: int) -> str:
+    """Rounds of assignment and averaging, written out one after another."""
+    text = f"""
+with whole as (select vec_id, label, embedding, len(embedding) // {parts} as width from embeddings
+               where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+row as (select *, row_number() over (order by vec_id) as r from whole),
+cell as (select r, i // width as part, i % width as pos, cast(floor(256 * cast(x as double)) as bigint) as x
+         from (select r, width, unnest(embedding) as x, unnest(range(len(embedding))) as i from row)),
+book0 as (select r - 1 as entry, part, pos, x from cell where r <= {entries})"""
+    for t in range(rounds + 1):
+        text += f""",
+far{t} as (select r, part, entry, sum((cell.x - b.x) * (cell.x - b.x)) as d from cell join book{t} b using (part, pos)
+           group by r, part, entry),
+code{t} as (select r, part, entry, d from far{t} qualify row_number() over (partition by r, part order by d, entry) = 1)"""
+        if t < rounds:
+            text += f""",
+mean{t} as (select entry, part, pos, cast(floor(cast(sum(x) as double) / count(*)) as bigint) as x
+            from code{t} join cell using (r, part) group by entry, part, pos),
+book{t + 1} as (select entry, part, pos, coalesce(m.x, b.x) as x from book{t} b left join mean{t} m using (entry, part, pos))"""
+    return text + f""",
+coded as (select vec_id, label, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' order by part) as code, cast(sum(d) as bigint) as error
+          from code{rounds} join row using (r) group by r, vec_id, label)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(cast(x as varchar), ',' order by part, entry, pos)) from book{rounds}) as codebooks_sha256
+from coded
+"""

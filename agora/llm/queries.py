@@ -18,6 +18,7 @@ from agora.llm.pii import KINDS, find_pii, span_list, train_pii_model
 from agora.llm.simhash import simhash_dedup
 from agora.llm.substring_dedup import substring_dedup
 from agora.llm.suffix_dedup import suffix_dedup
+from agora.llm.vector_codes import compress_vectors
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,9 +80,17 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compress_vectors(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+    errors = found.rows.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    return found.rows.join(errors, F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_mix_sources, op3_lm_score, op4_lang_id, op5_exact_dedup, op6_simhash, op7_pii,
-    op8_decontaminate, op9_substring_dedup, op10_suffix_dedup)}
+    op8_decontaminate, op9_substring_dedup, op10_suffix_dedup, op11_vector_codes)}
 
 ORACLE_SQL = {"op5_exact_dedup": oracle.EXACT_DEDUP, "op8_decontaminate": oracle.DECONTAMINATE,
-              "op9_substring_dedup": oracle.SUBSTRING_DEDUP}
+              "op9_substring_dedup": oracle.SUBSTRING_DEDUP,
+              "op11_vector_codes": oracle.vector_codes(parts=16, entries=64, rounds=2)}
