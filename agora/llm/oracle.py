@@ -47,6 +47,25 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(len(d.w) as bigint) -
 from d left join kept using (doc_id)
 """
 
+RANKED_SEARCH = rf"""
+with d as (select row_number() over () as row, doc_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+           from documents),
+q as (select item, item_id, term, count(*) as times
+      from (select row_number() over () as item, item_id,
+                   unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+      group by item, item_id, term),
+doc as (select row, doc_id, count(*) as n from d group by row, doc_id),
+corpus as (select count(*) as docs, cast(sum(n) as bigint) as terms from doc),
+tf as (select row, term, count(*) as tf from d semi join q using (term) group by row, term),
+weight as (select term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / (2 * count(*) + 1))) as bigint) as w
+           from tf, corpus group by term, docs),
+score as (select item, item_id, doc_id, row,
+                 cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) as bigint) as score
+          from q join weight using (term) join tf using (term) join doc using (row), corpus group by item, item_id, doc_id, row)
+select item_id, cast(row_number() over best as integer) as rank, doc_id, score from score where score > 0
+window best as (partition by item order by score desc, doc_id) qualify row_number() over best <= 10
+"""
+
 
 def vector_codes(parts: int, entries: int, rounds: int) -> str:
     """Rounds of assignment and averaging, written out one after another."""

@@ -15,6 +15,7 @@ from agora.llm.lang_id import identify_language, train_language_model
 from agora.llm.lm_score import held_out, lm_scores
 from agora.llm.mixing import mix_sources
 from agora.llm.pii import KINDS, find_pii, span_list, train_pii_model
+from agora.llm.ranked_search import ranked_search
 from agora.llm.simhash import simhash_dedup
 from agora.llm.substring_dedup import substring_dedup
 from agora.llm.suffix_dedup import suffix_dedup
@@ -87,10 +88,16 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_mix_sources, op3_lm_score, op4_lang_id, op5_exact_dedup, op6_simhash, op7_pii,
-    op8_decontaminate, op9_substring_dedup, op10_suffix_dedup, op11_vector_codes)}
+    op8_decontaminate, op9_substring_dedup, op10_suffix_dedup, op11_vector_codes,
+    op12_ranked_search)}
 
 ORACLE_SQL = {"op5_exact_dedup": oracle.EXACT_DEDUP, "op8_decontaminate": oracle.DECONTAMINATE,
               "op9_substring_dedup": oracle.SUBSTRING_DEDUP,
-              "op11_vector_codes": oracle.vector_codes(parts=16, entries=64, rounds=2)}
+              "op11_vector_codes": oracle.vector_codes(parts=16, entries=64, rounds=2),
+              "op12_ranked_search": oracle.RANKED_SEARCH}
