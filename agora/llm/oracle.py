@@ -66,6 +66,18 @@ select item_id, cast(row_number() over best as integer) as rank, doc_id, score f
 window best as (partition by item order by score desc, doc_id) qualify row_number() over best <= 10
 """
 
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LINE_DEDUP = f"""
+with line as (select doc_id, unnest(l) as line, unnest(range(len(l))) as pos
+              from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)),
+keyed as (select *, translate(trim(line, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from line),
+shared as (select key, max(doc_id) as last_doc from keyed where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+judged as (select doc_id, line, pos, last_doc is not null and last_doc <> doc_id as gone from keyed left join shared using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
 
 def vector_codes(parts: int, entries: int, rounds: int) -> str:
     """Rounds of assignment and averaging, written out one after another."""

@@ -12,6 +12,7 @@ from agora.llm.decontaminate import find_contamination, hit_words
 from agora.llm.exact_dedup import exact_dedup
 from agora.llm.html_text import html_text
 from agora.llm.lang_id import identify_language, train_language_model
+from agora.llm.line_dedup import line_dedup
 from agora.llm.lm_score import held_out, lm_scores
 from agora.llm.mixing import mix_sources
 from agora.llm.pii import KINDS, find_pii, span_list, train_pii_model
@@ -92,12 +93,18 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_mix_sources, op3_lm_score, op4_lang_id, op5_exact_dedup, op6_simhash, op7_pii,
     op8_decontaminate, op9_substring_dedup, op10_suffix_dedup, op11_vector_codes,
-    op12_ranked_search)}
+    op12_ranked_search, op13_line_dedup)}
 
 ORACLE_SQL = {"op5_exact_dedup": oracle.EXACT_DEDUP, "op8_decontaminate": oracle.DECONTAMINATE,
               "op9_substring_dedup": oracle.SUBSTRING_DEDUP,
               "op11_vector_codes": oracle.vector_codes(parts=16, entries=64, rounds=2),
-              "op12_ranked_search": oracle.RANKED_SEARCH}
+              "op12_ranked_search": oracle.RANKED_SEARCH,
+              "op13_line_dedup": oracle.LINE_DEDUP}
