@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,3 +76,10 @@ def read_with(docs: DataFrame, added: list[str]) -> DataFrame:
     """``docs`` without columns whose names an operator is about to add."""
     taken = {a.lower() for a in added}
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
+
+
+def own_names(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` under names that no operator adds, all but ``text``, and what
+    gives a selection of its rows their own columns back."""
+    plain = docs.select(*[F.col(f"`{c}`").alias("text" if c.lower() == "text" else f"own{i}") for i, c in enumerate(docs.columns)])
+    return plain, lambda rows: rows.select(*[F.col(a).alias(c) for a, c in zip(plain.columns, docs.columns)])

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.common import store
+from agora.llm.common import store_at
+from agora.operators.keys import in_scratch, remove
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,11 +33,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``u, v`` (any order, ``u <> v``) to ``node, root``: ``root`` is the
     smallest node that ``node`` reaches.  Roots themselves are not listed."""
-    edges = store(edges.select("u", "v"), "edges")
+    edges, path = store_at(edges.select("u", "v"), "edges")
     seen = None
     while True:
-        edges = store(_small_star(_large_star(edges)), "edges")
+        edges, now = store_at(_small_star(_large_star(edges)), "edges")
+        remove(edges.sparkSession, path)  # its successor stands
+        path = now
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
+            in_scratch(path)
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = state

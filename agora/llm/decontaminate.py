@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agora.llm.common import binary_list, read_with, store
+from agora.llm.common import binary_list, own_names, read_with, store
 
 #: Bytes that separate words, after A-Z became a-z; all others are kept.
 _WORD_BYTE = [i >= 0x80 or 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A for i in range(256)]
@@ -194,6 +194,6 @@ def hit_words(hits) -> F.Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents that share no window with the benchmark."""
-    found = find_contamination(docs, benchmark, window)
-    return found.where(F.size("hits") == 0).select(*[F.col(f"`{c}`") for c in docs.columns if c in found.columns])
+    """The documents that share no window with the benchmark, with their own columns."""
+    plain, back = own_names(docs)
+    return back(find_contamination(plain, benchmark, window).where(F.size("hits") == 0))

@@ -21,9 +21,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
 
-from agora.llm.common import lower_ascii
+from agora.llm.common import lower_ascii, store
+from agora.llm.verdicts import maybe_in, named_rows
 
 
 def exact_dedup(docs: DataFrame, keep: str = "smallest",
@@ -45,17 +45,26 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest",
                 F.coalesce(F.col("doc_id").eqNullSafe(F.col("keep_id")), F.lit(False)).alias("kept"), "text_sha256")
 
 
-def drop_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
+def drop_copies(docs: DataFrame, keep: str = "smallest",
+                content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
     """One row of each text stays, with its own columns: the one with the
     ``keep`` id, a null id last.  Among rows that share id and text a hash of
-    their columns decides; rows equal in all of them are one and the same.
-    The rows travel in the aggregate, partial before the shuffle, so nothing
-    joins back and no key is hot."""
-    plain = [f"`{f.name}`" for f in docs.schema if isinstance(f.dataType, AtomicType)]
-    no_id = F.col("doc_id").isNull()
+    their other columns decides, then their place in the files.
+
+    Only hashes are grouped at first.  Rows whose hash is nobody else's stay
+    where they are; only the others' texts meet, grouped by hash *and* bytes
+    with partial aggregation before the shuffle, and join the row that stays."""
+    def contains_map(kind) -> bool:
+        return "map<" in kind.simpleString()
+
+    norm = lower_ascii(F.coalesce("doc.text", F.lit("")))
+    rows = named_rows(docs).withColumn("hash", content_hash(norm))
+    shared = store(rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.xxhash64("hash").alias("h")), "shared")
+    rows = maybe_in(rows, F.xxhash64("hash"), shared, "company")
+    others = [F.col(f"doc.`{f.name}`") for f in docs.schema if not contains_map(f.dataType)]
+    no_id = F.col("doc.doc_id").isNull()
     pick, first = {"smallest": (F.min_by, no_id), "largest": (F.max_by, ~no_id)}[keep]
-    norm = lower_ascii(F.coalesce("text", F.lit("")))
-    return docs.groupBy(F.xxhash64(norm).alias("__hash"), norm.alias("__norm")) \
-        .agg(pick(F.struct(*[F.col(f"`{c}`") for c in docs.columns]),
-                  F.struct(first.alias("a"), F.col("doc_id").alias("b"), F.xxhash64(*plain).alias("c"))).alias("__row")) \
-        .select("__row.*")
+    rank = F.struct(first.alias("a"), F.col("doc.doc_id").alias("b"), F.xxhash64(*others).alias("c"), "row")
+    stay = rows.where("company").groupBy("hash", norm.alias("norm")).agg(pick("row", rank).alias("stay")).select("stay")
+    met = rows.where("company").join(stay, F.col("row") == F.col("stay"), "left_semi")
+    return rows.where("not company").select("doc.*").unionByName(met.select("doc.*"))

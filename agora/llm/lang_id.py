@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agora.llm.common import binary_list, read_with
+from agora.llm.common import binary_list, own_names, read_with
 
 TRAIN_ROWS, REJECT, CHANCE = 1600, 0.001, 1.5
 ROWS_BITS, DIM, GRAMS = 14, 16, (1, 2, 3, 4)
@@ -219,5 +219,5 @@ def identify_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame
 
 def drop_rejected(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """The documents whose language is accepted, with their own columns."""
-    found = identify_language(docs, model)
-    return found.where(~F.col("lang_rejected")).select(*[F.col(f"`{c}`") for c in docs.columns if c in found.columns])
+    plain, back = own_names(docs)
+    return back(identify_language(plain, model).where(~F.col("lang_rejected")))

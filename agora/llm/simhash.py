@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from agora.llm.common import binary_list, store
 from agora.llm.components import connected_components
+from agora.llm.verdicts import maybe_in, named_rows
 
 SEED = 42
 LANES = 64
@@ -204,15 +205,22 @@ def simhash_dedup(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> D
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = 3, radius: int = 2, judge_null_ids: bool = False) -> DataFrame:
     """One row of each component stays, with its own columns: the one with
-    the smallest ``doc_id``, then fingerprint, then stored row number, so
+    the smallest ``doc_id``, then fingerprint, then place in the files, so
     that an id repeated with one text or several is judged row by row.  Rows
-    without an id stay beside it, or with ``judge_null_ids`` come last in it."""
-    rows = store(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
-    fps = store(fingerprints(rows, shingle_words, ("__row",)), "fingerprints")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "__row")
-    least = rooted(fps.groupBy("fp").agg(F.min(rank).alias("first")), radius) \
-        .groupBy("root").agg(F.min("first").alias("first")).select("first.*")
-    stay = least.select("__row")
+    without an id stay beside it, or with ``judge_null_ids`` come last in it.
+    Fingerprints travel, texts only for what the bitmap of the rows lost
+    can't tell apart from them."""
+    rows = named_rows(docs)
+    fps = store(fingerprints(rows.select("doc.doc_id", "doc.text", "row.file", "row.place"), shingle_words, ("file", "place")),
+                "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "file", "place")
+    member = rooted(fps.groupBy("fp").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")), radius)
+    least = member.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("all")).where(F.col("all") > 1)
+    lost = fps.join(member.join(least, "root").select("fp", "stays"), "fp") \
+        .where((F.col("file") != F.col("stays.file")) | (F.col("place") != F.col("stays.place")))
     if not judge_null_ids:
-        stay = least.where("not no_id").select("__row").unionByName(fps.where("doc_id is null").select("__row"))
-    return rows.join(stay, "__row", "left_semi").drop("__row")
+        lost = lost.where("doc_id is not null")
+    lost = store(lost.select(F.struct("file", "place").alias("lost")), "near-copies")
+    rows = maybe_in(rows, F.xxhash64("row"), lost.select(F.xxhash64("lost").alias("h")), "judged")
+    left = rows.where("judged").join(lost, F.col("row") == F.col("lost"), "left_anti")
+    return rows.where("not judged").select("doc.*").unionByName(left.select("doc.*"))

@@ -21,20 +21,23 @@ from agora.llm.common import store
 
 PER_BITMAP = 1 << 15  # bits in one of Spark's bitmaps
 MOST_BITS = 1 << 27
-KEY = "__verdict_row"
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``KEY``, a name of each stored row: file and place in it.
+def named_rows(docs: DataFrame) -> DataFrame:
+    """``doc`` (a struct of the row's own columns, so that no other name here
+    can clash with one of them) and ``row``, a name of the stored row: its
+    file and its place in it.
 
-    The same row has the same key in every scan, however files are split.
-    What isn't read from files is stored first.  A file is named by a
+    The same row has the same name in every scan, however files are split.
+    What isn't read from Parquet files is stored first.  A file is named by a
     64-bit hash of its path."""
-    here = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(KEY)
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     try:
-        return docs.select("*", here)
+        file = docs.metadataColumn("_metadata")
+        here = F.struct(F.xxhash64(file["file_path"]).alias("file"), file["row_index"].alias("place"))
+        return docs.select(doc, here.alias("row"))
     except AnalysisException:  # no file source: no such column
-        return store(docs, "rows").select("*", here)
+        return named_rows(store(docs, "rows"))
 
 
 def maybe_in(docs: DataFrame, hashed: Column, members: DataFrame, flag: str) -> DataFrame:

@@ -48,6 +48,13 @@ def test_exact(spark, keep, weak):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_one_row_stays_whatever_the_hash(spark, keep):
+    want = sorted(r.text or "" for r in drop_copies(docs_of(spark, AWKWARD), keep).collect())
+    assert want == sorted(r.text or "" for r in drop_copies(docs_of(spark, AWKWARD).repartition(3), keep, lambda c: F.lit("same")).collect())
+    assert len(want) == len({lower(t) for _, t in AWKWARD})
+
+
 def test_exact_keeps_columns_and_takes_empty_tables(spark):
     docs = docs_of(spark, AWKWARD)
     left = drop_copies(docs)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from agora.llm import verdicts
 from agora.llm.cuckoo import CuckooFilter
 from agora.llm.line_dedup import line_dedup, line_index
-from agora.llm.verdicts import KEY, maybe_in, with_row_key
+from agora.llm.verdicts import maybe_in, named_rows
 
 SCHEMA = "doc_id long, text string, lines int, key string, hash string, gone int, kept string"
 
@@ -125,10 +125,10 @@ def test_bitmap_of_verdicts(spark, monkeypatch):
     assert not maybe_in(docs, F.xxhash64("id"), members.limit(0), "some").where("some").count()
 
 
-def test_row_keys_are_the_same_in_every_scan(spark, tmp_path):
-    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
-    for docs in (spark.read.parquet(str(tmp_path / "t")), spark.range(1000).withColumn("x", F.lit(1))):
-        keyed = with_row_key(docs)
-        assert keyed.select(KEY).distinct().count() == 1000
-        assert keyed.join(keyed.repartition(7).select(F.col("id").alias("same"), F.col(KEY).alias("k")), F.col("k") == F.col(KEY)) \
-            .where("id = same").count() == 1000
+def test_row_names_are_the_same_in_every_scan(spark, tmp_path):
+    spark.range(1000).withColumn("_metadata", F.lit("x")).repartition(3).write.parquet(str(tmp_path / "t"))
+    for docs in (spark.read.parquet(str(tmp_path / "t")), spark.range(1000).withColumn("row", F.lit(1))):
+        named = named_rows(docs)
+        assert named.select("doc.*").columns == docs.columns and named.select("row").distinct().count() == 1000
+        again = named.repartition(7).select(F.col("doc.id").alias("same"), F.col("row").alias("r"))
+        assert named.join(again, F.col("r") == F.col("row")).where("doc.id = same").count() == 1000

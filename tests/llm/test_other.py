@@ -12,6 +12,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from agora.operators.keys import scratch
+from agora.session import ensure_checkpoint_dir
 from agora.llm.common import table
 from agora.llm.decontaminate import drop_contaminated, find_contamination, hit_words
 from agora.llm.html_text import Page, html_text
@@ -345,4 +347,27 @@ def test_pipeline_stages(spark):
         if name == "benchmark decontamination":
             assert 10**6 + 2 in gone
         assert stage(spark, before.limit(0), SF).count() == 0
-    assert p.run(spark, SF).count() > 100
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = {f.getPath().getName() for f in files.listStatus(folder)}
+    with scratch(spark):
+        assert p.run(spark, SF).count() > 100
+    assert {f.getPath().getName() for f in files.listStatus(folder)} == there  # nothing is left behind
+
+
+def test_stages_give_back_the_documents_own_columns(spark):
+    """Columns named as the operators name theirs keep their values and types."""
+    import corpus_pipeline as p
+
+    names = ("n_words hits items lang_pred lang_score lang_rejected row __row file place doc hash norm company judged stay stays "
+             "lost fp root first n all h __letter __bit __bits __map own0 own1 _metadata rank").split()
+    docs = spark.createDataFrame([(i, f"{w} une phrase entière numéro {w} parmi d'autres {w}", "fr", "s", i) for i, w in
+                                  enumerate(["un", "deux", "un", "trois", "%%"])], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.struct(F.lit(c).alias("x")).alias(c) for c in names])
+    kept = docs
+    for name, stage in p.STAGES[:-1]:
+        kept = stage(spark, kept, SF)
+        assert kept.schema.simpleString() == docs.schema.simpleString(), name
+        assert all(r[c].x == c for r in kept.collect() for c in names), name
+    assert {r.doc_id for r in kept.collect()} in ({0, 1, 3}, {0, 1, 3, 4})
+    assert p.STAGES[-1][1](spark, kept, SF).count() >= 3
