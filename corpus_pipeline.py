@@ -4,7 +4,8 @@ Each stage takes the documents that the one before it kept and returns
 those that it keeps, with their columns; the last one mixes what is left
 and returns, per document, how often the mix takes its words.  ``run``
 writes each stage's documents as Parquet into the shared checkpoint folder
-and reads them back, so a lost executor never costs an earlier stage.
+and reads them back, so a lost executor never costs an earlier stage; a
+stage's documents are removed when the next one's stand.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm.common import store, table
+from agora.llm.common import store_at, table
 from agora.llm.decontaminate import drop_contaminated
 from agora.llm.exact_dedup import drop_copies
 from agora.llm.lang_id import drop_rejected, train_language_model
 from agora.llm.mixing import mix_sources
 from agora.llm.simhash import drop_near_copies
+from agora.operators.keys import in_scratch, remove, scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):  # what a stage stores on its way goes once its documents stand
+            docs, path = store_at(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:
+            remove(spark, before)
+        before = path
+    in_scratch(path)  # the last stage's result still reads it
     return STAGES[-1][1](spark, docs, sf_dir)
