@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from agora.operators.scoring import (CANDIDATS, SCENARIO_FEATURES, SCENARIO_SCHEMA, LinearModel, predict_scores, ranking,
                                      read_scenarios, score_with_pipeline, winners)
 from agora.sources.ingest import landed_listing, landing_report, manifest_frame
-from agora.sources.raw import read_text_csv
+from agora.sources.raw import file_headers, read_text_csv
 from conftest import rows
 
 
@@ -28,6 +28,36 @@ def test_columns_are_found_by_name(spark, tmp_path):
         read_text_csv(spark, [a, b], ["code", "x"], sep=";")
 
 
+def test_a_folder_is_read_as_the_list_of_its_files(spark, tmp_path):
+    """Swapped, missing and further columns, a byte order mark, odd names, an empty file."""
+    made = {"a.csv": "code,n,x\n92002,2,é\n", "b 2.csv": "n,code\n3,92003\n", "c[1]{x}.csv": "\ufeffcode,n\n92004,4\n",
+            "d%20.csv": "y,n,code\n9,5,92005\n", "e.csv": "", "f.csv": "code,n,x\n", "g.csv": '\n"n","co""de",code\n6,z,92006\n',
+            "h.csv": "code,n\n" + "1,1\n" * 5000}
+    files = [write(tmp_path / "raw" / name, text) for name, text in made.items()]
+    want = sorted([(f"9200{i}", str(i)) for i in range(2, 7)] + [("1", "1")] * 5000)
+    for paths in (str(tmp_path / "raw"), str(tmp_path / "raw" / "*.csv"), [str(tmp_path / "r?w"), ]):
+        assert rows(read_text_csv(spark, paths, ["code", "n"])) == want
+    listed = [f for f in files if "[" not in f and "{" not in f]  # a path given is a pattern
+    assert rows(read_text_csv(spark, listed, ["code", "n"])) == [w for w in want if w[0] != "92004"]
+    assert file_headers(spark, str(tmp_path / "raw")).count() == 7
+    write(tmp_path / "raw" / "z.csv", "n,cod\n1,2\n")
+    with pytest.raises(ValueError, match="z.csv has no column code"):
+        read_text_csv(spark, str(tmp_path / "raw"), ["code", "n"])
+    write(tmp_path / "twice" / "t.csv", "n,code,code\n1,2,3\n")
+    with pytest.raises(ValueError, match="more than one column code"):
+        read_text_csv(spark, str(tmp_path / "twice"), ["code"])
+    write(tmp_path / "none" / "t.csv", "")
+    with pytest.raises(ValueError, match="no file with a header"):
+        read_text_csv(spark, str(tmp_path / "none"), ["code"])
+
+
+def test_headers_in_another_encoding(spark, tmp_path):
+    for name, text in {"a.csv": "libellé;n\nÉvry;1\n", "b.csv": "n;libellé\n2;Sèvres\n"}.items():
+        write(tmp_path / "l" / name, "")
+        (tmp_path / "l" / name).write_text(text, encoding="latin-1")
+    assert rows(read_text_csv(spark, str(tmp_path / "l"), ["libellé", "n"], sep=";", encoding="ISO-8859-1")) == [("Sèvres", "2"), ("Évry", "1")]
+
+
 def test_quotes_line_breaks_and_no_header(spark, tmp_path):
     p = write(tmp_path / "q.csv", 'n,code\n"a ""b"",\nc",1\n')
     assert rows(read_text_csv(spark, p, ["code", "n"], multi_line=True)) == [("1", 'a "b",\nc')]
