@@ -2,14 +2,17 @@
 
 A plain global window sends every row to one partition.  Here the rows
 are written once with a row number of their own, so the input is computed
-a single time; that table is range-partitioned on the order key with the
+a single time, and counted by that write.  Up to ``ROWS_PER_PARTITION`` of
+them are one partition anyway and get their numbers in it.  A larger table
+is range-partitioned on the order key with the
 row number as last tie-breaker (Spark samples the key, so neither a hot
 leading value nor rows with one and the same key end up in one task),
 sorted inside each partition and written again with its partition id.
 The per-partition row counts then give each partition its offset.  Both
 tables lie in the shared folder named by ``spark.checkpoint.dir``: losing
 an executor loses nothing.  The first is removed as soon as the second
-stands; ``scratch`` removes the others once their result is stored.
+stands; ``scratch`` removes the others once their result is stored.  Rows
+that a caller has stored already (``Rows``) are not written again.
 
 With residual ties the numbering among fully identical rows is arbitrary,
 exactly as for ``ROW_NUMBER``.
@@ -20,8 +23,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agora.session import ensure_checkpoint_dir
@@ -39,29 +43,65 @@ def _ordered(cols: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
 
 
-def range_layout(df: DataFrame, order_by: Sequence[Column | str], num_partitions: int | None = None) -> DataFrame:
-    """``df`` written in ``order_by`` order, with its partition id and its
-    place in the partition.  Partitions hold about ``ROWS_PER_PARTITION``
-    rows, whatever the session's shuffle setting."""
-    spark = df.sparkSession
-    once, path = _written(df.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
-    n = num_partitions or max(1, -(-once.count() // ROWS_PER_PARTITION))  # the count reads file footers only
+@dataclass(frozen=True)
+class Rows:
+    """Rows computed once: a frame over a written table, with a row number
+    (``_ROW``) that every selection must carry along, and their count."""
+    frame: DataFrame
+    count: int
+
+    def select(self, *cols: Column | str) -> Rows:
+        return Rows(self.frame.select(*cols, _ROW), self.count)
+
+    @property
+    def partitions(self) -> int:
+        return max(1, -(-self.count // ROWS_PER_PARTITION))
+
+
+def stored_rows(df: DataFrame, name: str = "rows") -> tuple[Rows, str]:
+    """``df`` written once with row numbers, counted by the write itself; the
+    path, for the caller to remove or leave to a scratch block."""
+    seen = Observation()
+    once, path = _written(df.withColumn(_ROW, F.monotonically_increasing_id()).observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return Rows(once, seen.get["n"]), path
+
+
+def range_layout(df: DataFrame | Rows, order_by: Sequence[Column | str], num_partitions: int | None = None) -> DataFrame:
+    """The rows written in ``order_by`` order, with their partition id and
+    their place in the partition.  Partitions hold about
+    ``ROWS_PER_PARTITION`` rows, whatever the session's shuffle setting.
+    What isn't stored yet is written first, so that it is computed once."""
+    path = None
+    if not isinstance(df, Rows):
+        df, path = stored_rows(df)
+    n = num_partitions or df.partitions
     ordered = [*_ordered(order_by), F.col(_ROW)]
-    laid_out = freeze(once.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered)
-                          .withColumn(_PID, F.spark_partition_id())
-                          .withColumn(_MID, F.monotonically_increasing_id()).drop(_ROW))
-    remove(spark, path)
+    laid_out = freeze(df.frame.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered)
+                        .withColumn(_PID, F.spark_partition_id())
+                        .withColumn(_MID, F.monotonically_increasing_id()).drop(_ROW))
+    if path:
+        remove(laid_out.sparkSession, path)
     return laid_out
 
 
-def dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str,
+def dense_key(df: DataFrame | Rows, order_by: Sequence[Column | str], name: str,
               num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` (bigint, 1..n) numbering rows in ``order_by`` order.
 
     ``order_by`` items are column names (ascending, NULLs last) or sort
-    expressions such as ``F.col("x").desc_nulls_last()``.
+    expressions such as ``F.col("x").desc_nulls_last()``.  Rows that make up
+    one partition, as counted when they were stored, are numbered right there.
     """
+    path = None
+    if not isinstance(df, Rows):
+        df, path = stored_rows(df)
+    if (num_partitions or df.partitions) == 1:
+        if path:
+            in_scratch(path)
+        return small_dense_key(df.frame, [*_ordered(order_by), F.col(_ROW)], name).drop(_ROW)
     frozen = range_layout(df, order_by, num_partitions)
+    if path:
+        remove(frozen.sparkSession, path)
     # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = (frozen.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
                      .withColumn(_OFF, F.coalesce(
@@ -75,8 +115,8 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str,
 
 
 def small_dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str) -> DataFrame:
-    """Window ``row_number`` for inputs with a known small bound (calendar
-    days, literal code lists)."""
+    """Window ``row_number`` for inputs with a known bound (calendar days,
+    literal code lists, counted rows of one partition)."""
     w = Window.orderBy(*_ordered(order_by))
     return df.withColumn(name, F.row_number().over(w).cast("long"))
 

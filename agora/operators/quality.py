@@ -23,8 +23,9 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,11 +92,16 @@ def evaluate_rules(df: DataFrame, rules: Sequence[Rule],
     """One scan of ``df`` -> one DATA_QUALITY_LOG row per rule."""
     if not rules:
         raise ValueError("no rules")
+    return _log_rows(df.agg(*_counts(rules)), rules, check_ts)
+
+
+def _counts(rules: Sequence[Rule]) -> list[Column]:
     n_all = F.count(F.lit(1))
-    aggs = [n_all.alias("__n")]
-    aggs += [_error_count(r, n_all).alias(f"__e{i}") for i, r in enumerate(rules)]
-    counts = df.agg(*aggs)
+    return [n_all.alias("__n"), *(_error_count(r, n_all).alias(f"__e{i}") for i, r in enumerate(rules))]
+
 
+def _log_rows(counts: DataFrame, rules: Sequence[Rule], check_ts: _dt.datetime | None) -> DataFrame:
+    """One log row per rule from one row of counts."""
     n = F.col("__n")
     ts = F.lit(check_ts).cast("timestamp") if check_ts else F.current_timestamp()
     rows = []
@@ -121,6 +127,37 @@ def evaluate_rules(df: DataFrame, rules: Sequence[Rule],
     return counts.select(F.inline(F.array(*rows)))
 
 
+class WatchedRules:
+    """Rules counted by the very write that stores their table.
+
+    ``watch`` adds the counts of all rules but those on distinct keys (which
+    can't be observed) to a DataFrame as observed metrics; writing that one
+    computes them, so checking a stored table costs no second scan.  Watch
+    what is written, after any shuffle: counts are then made in the tasks
+    that write, of which each counts once however often it is tried.
+    """
+
+    def __init__(self, rules: Sequence[Rule]):
+        self.rules = [r for r in rules if r.unique_key is None]
+        self.others = [r for r in rules if r.unique_key is not None]
+        self.seen = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, *_counts(self.rules)) if self.rules else df
+
+    def log(self, stored: DataFrame, check_ts: _dt.datetime | None = None) -> DataFrame:
+        """The log rows, after the write; ``stored`` is what it stored."""
+        parts = []
+        if self.rules:
+            schema = ", ".join(["__n long", *(f"__e{i} long" for i in range(len(self.rules)))])
+            seen = self.seen.get
+            row = (seen["__n"], *(seen[f"__e{i}"] for i in range(len(self.rules))))
+            parts.append(_log_rows(stored.sparkSession.createDataFrame([row], schema), self.rules, check_ts))
+        if self.others:
+            parts.append(evaluate_rules(stored, self.others, check_ts))
+        return reduce(DataFrame.unionByName, parts)
+
+
 def evaluate_suite(tables: dict[str, DataFrame], rules: Sequence[Rule],
                    check_ts: _dt.datetime | None = None) -> DataFrame:
     """Evaluate rules grouped by table name: one aggregate per table, then

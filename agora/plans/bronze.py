@@ -19,7 +19,7 @@ from agora.functions.clean import (SENTINELS_NA, SENTINELS_SECRET, clean_double,
                                    clean_int, prefix_in, trim_spaces)
 from agora.operators.reshape import (append_rows, fill_zero, grouped_sums_with_ratios,
                                      pivot_avg, with_provenance)
-from agora.operators.windows import share_of_partition
+from agora.operators.windows import ordered_shares, share_of_partition
 
 # ---------------------------------------------------------------------------
 # Scope, indicator labels, column mappings and file labels of
@@ -186,14 +186,18 @@ def candidate_shares(raw: DataFrame, keys: Sequence[str] = tuple(ELECTION_KEYS),
                      dept: str = "code_departement", departments: Sequence[str] = DEPARTMENTS,
                      partition_by: Sequence[str] = ("code_commune",),
                      sentinels: Sequence[str] = SENTINELS_NA,
-                     extra: Sequence[str] = ()) -> DataFrame:
+                     extra: Sequence[str] = (), ordered: bool = False) -> DataFrame:
     """One row per candidate and commune: trimmed names, integer votes and the
-    share of the commune's votes in percent (0 when the commune total is 0)."""
+    share of the commune's votes in percent (0 when the commune total is 0).
+    ``ordered``: by department, commune and votes, most first (O2)."""
     df = raw.where(F.col(dept).isin(list(departments))).select(
         *keys, *extra,
         trim_spaces(first).alias("prenom"),
         trim_spaces(last).alias("nom"),
         clean_int(votes, sentinels).alias("voix"))
+    if ordered:
+        return ordered_shares(df, "voix", list(partition_by), "pourcentage_voix",
+                              [F.col(dept).asc_nulls_last(), F.col(keys[2]).asc_nulls_last(), F.col("voix").desc_nulls_last()])
     return share_of_partition(df, "voix", list(partition_by), "pourcentage_voix")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from agora.functions.clean import (code_to_label, count_missing, d_to_int, norm_name,
                                    null_safe_sum, pct_to_ratio, rate_if_positive, typed_null)
-from agora.operators.keys import dense_key, small_dense_key
+from agora.operators.keys import Rows, dense_key, in_scratch, small_dense_key, stored_rows
 from agora.operators.windows import rank_desc
 
 # ---------------------------------------------------------------------------
@@ -246,12 +246,12 @@ def _fact_tail(source: Column | str, load_ts) -> list[Column]:
             _ts(load_ts).alias("date_chargement")]
 
 
-def _keyed(df: DataFrame, order: Sequence, columns: Sequence[str], with_key: bool = True) -> DataFrame:
+def _keyed(df: DataFrame | Rows, order: Sequence, columns: Sequence[str], with_key: bool = True) -> DataFrame:
     """Number the fact rows (``id_fait``); consumers that never read the key
     (quality checks, the feature mart) pass ``with_key=False`` and skip the
     range sort and the frozen write that numbering needs."""
     if not with_key:
-        return df.select(*columns)
+        return (df.frame if isinstance(df, Rows) else df).select(*columns)
     return dense_key(df, order, "id_fait").select("id_fait", *columns)
 
 
@@ -265,6 +265,9 @@ def fact_resultats(bronze: DataFrame, communes: DataFrame, candidates: DataFrame
     dc = candidates.where(F.col("is_current")).select(
         norm_name("nom").alias("__cand_nom"), F.col("id_candidat").alias("__cand_id"))
     j = b.join(dc, norm_name(F.col("nom")) == F.col("__cand_nom"), "left").drop("__cand_nom")
+    if with_rank or with_key:  # rank and key are both made from one stored copy of the joined rows
+        j, path = stored_rows(j)
+        in_scratch(path)
     if with_rank:
         j = rank_desc(j, "voix", ["code_commune"], "rang_commune")
     out = j.select(

@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from agora.operators.keys import dense_key, range_layout, scratch, small_dense_key
-from agora.operators.quality import Rule, evaluate_rules, evaluate_suite, fail_count
+from agora.operators.keys import dense_key, range_layout, scratch, small_dense_key, stored_rows
+from agora.operators.quality import Rule, WatchedRules, evaluate_rules, evaluate_suite, fail_count
 from agora.operators.reshape import append_rows, fill_zero, pivot_avg
-from agora.operators.windows import rank_desc, share_of_partition
+from agora.operators.windows import ordered_shares, rank_desc, share_of_partition
 from agora.session import ensure_checkpoint_dir
 from conftest import SF01, rows
 
@@ -109,7 +109,40 @@ def test_rank_desc_hot_key_spans_partitions(spark):
                                   F.when(F.col("id") % 11 > 0, F.col("id") % 700).cast("int").alias("v"))
     exp = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last())))
     for n in (1, 5, 9):
-        assert rows(rank_desc(df, "v", ["k"], "r", num_partitions=n)) == rows(exp)
+        assert rows(rank_desc(df, "v", ["k"], "r", num_partitions=n, hot_rows=200)) == rows(exp)
+    for most in (10, 1000, 5000):  # all keys, one key and no key hot
+        assert rows(rank_desc(df, "v", ["k"], "r", 3, hot_rows=most)) == rows(exp)
+    stored, _ = stored_rows(df)
+    both = dense_key(rank_desc(stored, "v", ["k"], "r", 3, hot_rows=1000), ["k", "v", "r"], "id", 4)
+    assert rows(both, "k", "v", "r") == rows(exp) and rows(both, "id") == rows(spark.range(1, 4001))
+
+
+def test_shares_come_in_order_from_one_scan(spark, tmp_path):
+    """A hot commune over several tasks, NULL keys and values last, whether
+    the totals are broadcast or shuffled."""
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 13 > 0, (F.col("id") % 3).cast("string")).alias("dep"),
+        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 17 > 0, F.concat(F.lit("c"), F.col("id") % 40)).alias("com"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 900).cast("int").alias("v"))
+    df.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    order = [F.col("dep").asc_nulls_last(), F.col("com").asc_nulls_last(), F.col("v").desc_nulls_last()]
+    want = rows(share_of_partition(df, "v", ["com"], "s"))
+    for broadcast in (10 << 20, -1):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+        try:
+            got = ordered_shares(df, "v", ["com"], "s", order)
+            last = lambda x: (x is None, x)
+            keys = [(last(r.dep), last(r.com), last(None if r.v is None else -r.v)) for r in got.collect()]
+            assert keys == sorted(keys) and rows(got) == want
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert str(tmp_path) not in plan  # the input was scanned when its rows were stored
+            hot = got.withColumn("p", F.spark_partition_id()).where("com = 'hot' and dep = '1'")
+            assert hot.select("p").distinct().count() > 1
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
 
 
 def test_dense_key_computes_its_input_once(spark):
@@ -132,6 +165,35 @@ def test_dense_key_splits_rows_with_one_key(spark):
     assert sorted(r.id for r in dense_key(df, ["k"], "id", num_partitions=4).collect()) == list(range(1, 4001))
 
 
+def test_rows_of_one_partition_are_numbered_without_a_layout(spark):
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
+    df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("a", 3)], "x string, y int")
+    got = dense_key(df, ["x"], "id")
+    assert sorted((r.id, r.x) for r in got.collect()) == [(1, "a"), (2, "a"), (3, "b"), (4, None)]
+    assert len(set(os.listdir(folder)) - before) == 1
+    for n in (None, 3):
+        assert dense_key(df.limit(0), ["x"], "id", n).count() == 0
+    assert rank_desc(df.limit(0), "y", ["x"], "r").count() == 0
+
+
+def watched(spark, df, rules, path):
+    w = WatchedRules(rules)
+    w.watch(df).write.parquet(path)
+    return w.log(spark.read.parquet(path))
+
+
+def test_rules_are_counted_by_the_write(spark, tmp_path):
+    df = spark.createDataFrame([(v,) for v in [1, 1, None] + list(range(2, 99)) + [-1, 200]], "c int").repartition(5)
+    for i, own in enumerate((df, df.limit(0), df.where("c = 1"))):
+        log = watched(spark, own, [R3, RPF, RPW, RU], str(tmp_path / f"t{i}"))
+        assert _status(log) == _status(evaluate_rules(own, [R3, RPF, RPW, RU]))
+    alone = watched(spark, df, [R3, RPF, RPW], str(tmp_path / "alone"))
+    assert "Scan parquet" not in alone._jdf.queryExecution().executedPlan().toString()
+    only = watched(spark, df, [RU], str(tmp_path / "only"))
+    assert _status(only) == _status(evaluate_rules(df, [RU]))
+
+
 def test_scratch_removes_copies(spark, tmp_path):
     before = set(os.listdir(spark.sparkContext.getCheckpointDir().removeprefix("file:")))
     with scratch(spark):
