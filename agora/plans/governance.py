@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agora.operators.quality import Rule, evaluate_suite, fail_count, quality_summary
+from agora.operators.quality import Rule, WatchedRules, evaluate_suite, fail_count, quality_summary
 
 T_CRIME = "Bronze.criminalite_commune_clean"
 T_SOCIO = "Bronze.socio_demo_communes"
@@ -133,6 +134,22 @@ def run_quality(tables: dict[str, DataFrame], rules: Sequence[Rule] = tuple(RULE
     return evaluate_suite(rule_inputs(tables), list(rules), check_ts)
 
 
+def rules_by_table(rules: Sequence[Rule] = tuple(RULES)) -> dict[str, list[Rule]]:
+    """The rules of each Bronze or Gold table, for the write that stores it."""
+    out: dict[str, list[Rule]] = {}
+    for r in rules:
+        out.setdefault(TABLE_OF[r.table_name], []).append(r)
+    return out
+
+
+def watched_log(stored: dict[str, DataFrame], watched: dict[str, WatchedRules],
+                check_ts: _dt.datetime | None = None) -> DataFrame:
+    """The log rows of tables whose writes were watched."""
+    inputs = rule_inputs(stored)
+    of = {key: inputs[log_name] for log_name, key in TABLE_OF.items() if key in stored}
+    return reduce(DataFrame.unionByName, [w.log(of[name], check_ts) for name, w in watched.items()])
+
+
 # Load audit ------------------------------------------------------------------
 AUDIT_SCHEMA = T.StructType([
     T.StructField("id_chargement", T.IntegerType()),

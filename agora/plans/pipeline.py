@@ -2,28 +2,32 @@
 
 Order of the source pipeline: the audit's IN_PROGRESS rows are written
 first, the Bronze checks run after the Bronze zone, the Gold checks after
-the Gold zone, and the SUCCESS rows last.  Tables are written with
-``overwrite`` so a rerun replaces them (idempotent); the two governance
-logs are appended to.  Every zone is a folder of Parquet tables under
-``warehouse``; each table is read back before the next zone uses it, so
-later zones start from stored data, not from the lineage of earlier ones.
+the Gold zone, and the SUCCESS rows last.  Tables are replaced atomically
+(see ``agora.sources.tables``), so a rerun is idempotent and a failed one
+leaves the earlier tables readable; the two governance logs are appended
+to.  Every zone is a folder of tables under ``warehouse``; each table is
+read back before the next zone uses it, so later zones start from stored
+data, not from the lineage of earlier ones.  The quality rules are counted
+by the writes themselves, but for the one on distinct keys.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora.operators.keys import scratch
-from agora.operators.quality import LOG_SCHEMA
+from agora.operators.quality import LOG_SCHEMA, Rule, WatchedRules
 from agora.plans import bronze as B
 from agora.plans import gold as G
 from agora.plans import governance as GV
 from agora.sources.raw import read_text_csv
+from agora.sources.tables import replace_table
 
 RAW_COLUMNS = {
     "associations": ["adrs_codeinsee", "position"],
@@ -34,9 +38,8 @@ RAW_COLUMNS = {
 }
 
 
-# Physical order of two Bronze tables (ORDER BY in their CTAS): applied as a
-# partition-local sort when writing, no global shuffle for a storage order.
-# (column, descending)
+# Physical order of two Bronze tables (ORDER BY in their CTAS), across files:
+# a filter on the leading column skips the others.  (column, descending)
 BRONZE_ORDER = {
     "socio_demo_communes": [("code_commune", False)],
     "presidentielle_2022_communes_candidats_pct": [
@@ -51,13 +54,18 @@ def read_raw(spark: SparkSession, paths: dict[str, str | Sequence[str]], sep: st
             for k, p in paths.items()}
 
 
-def _store(df: DataFrame, warehouse: str, zone: str, name: str, mode: str = "overwrite",
-           sort: Sequence[tuple[str, bool]] = ()) -> DataFrame:
-    path = f"{warehouse.rstrip('/')}/{zone}/{name}"
-    keys = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in sort]
-    out = df.sortWithinPartitions(*keys) if keys else df
-    out.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _store_zone(tables: dict[str, DataFrame], warehouse: str, zone: str, rules: Sequence[Rule],
+                check_ts: _dt.datetime | None) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Replaces the zone's tables; the rules on each are counted as it is
+    written.  Returns the stored tables and the log rows."""
+    stored, by_table, log = {}, GV.rules_by_table(rules), []
+    for name, df in tables.items():
+        watched = {name: WatchedRules(by_table[name])} if name in by_table else {}
+        stored[name] = replace_table(df, f"{warehouse.rstrip('/')}/{zone}/{name}", BRONZE_ORDER.get(name, ()),
+                                     watched[name].watch if watched else None)
+        if watched:
+            log.append(GV.watched_log({name: stored[name]}, watched, check_ts or _now()))
+    return stored, log
 
 
 def open_log(spark: SparkSession, warehouse: str, name: str, schema: T.StructType) -> str:
@@ -89,15 +97,14 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
     quality = open_log(spark, warehouse, "DATA_QUALITY_LOG", LOG_SCHEMA)
     _append(GV.audit_frame(spark, GV.audit_start_rows(start_ts)), audit, GV.AUDIT_SCHEMA)
     try:
-        bronze = {name: _store(df, warehouse, "bronze", name, sort=BRONZE_ORDER.get(name, ()))
-                  for name, df in B.build_bronze(raw, start_ts).items()}
-        bronze["criminalite_commune_clean"] = _store(
-            B.build_clean_crime(bronze["criminalite_commune"]), warehouse, "bronze", "criminalite_commune_clean")
-        _append(GV.run_quality(bronze, GV.BRONZE_RULES, start_ts), quality, LOG_SCHEMA)
+        bronze, log = _store_zone(B.build_bronze(raw, start_ts), warehouse, "bronze", GV.BRONZE_RULES, start_ts)
+        clean, more = _store_zone({"criminalite_commune_clean": B.build_clean_crime(bronze["criminalite_commune"])},
+                                  warehouse, "bronze", GV.BRONZE_RULES, start_ts)
+        bronze |= clean
+        _append(reduce(DataFrame.unionByName, log + more), quality, LOG_SCHEMA)
         with scratch(spark):  # the copies that numbering needs go once the keyed tables are stored
-            gold = {name: _store(df, warehouse, "gold", name)
-                    for name, df in G.build_gold(spark, bronze, start_ts).items()}
-        _append(GV.run_quality(gold, GV.GOLD_RULES, end_ts or _now()), quality, LOG_SCHEMA)
+            gold, log = _store_zone(G.build_gold(spark, bronze, start_ts), warehouse, "gold", GV.GOLD_RULES, end_ts)
+        _append(reduce(DataFrame.unionByName, log), quality, LOG_SCHEMA)
     except Exception as e:
         _append(GV.audit_frame(spark, GV.audit_end_rows(end_ts or _now(), status=GV.STATUS_FAILED, error=str(e)[:1000])),
                 audit, GV.AUDIT_SCHEMA)

@@ -12,12 +12,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
-from urllib.parse import unquote
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from agora.operators.keys import freeze
+
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+LISTING_TASKS = 1000
+
 STATUS_OK = "OK"
 STATUS_DOWNLOAD_ERROR = "ERREUR_DOWNLOAD"
 STATUS_STORE_ERROR = "ERREUR_MINIO"
@@ -34,22 +39,47 @@ def manifest_frame(spark: SparkSession, entries: list[dict]) -> DataFrame:
                                  MANIFEST_SCHEMA)
 
 
+def _children(batches):
+    """Names and sizes in each folder, from the file system that holds it."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    schema = pa.schema([("path", pa.string()), ("length", pa.int64()), ("folder", pa.bool_())])
+    for batch in batches:
+        for uri in batch["path"].to_pylist():
+            files, path = (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
+            root = uri[:len(uri) - len(path)] if uri.endswith(path) else ""
+            found = [f for f in files.get_file_info(fs.FileSelector(path)) if not f.base_name.startswith(("_", "."))]
+            if found:
+                yield pa.RecordBatch.from_pydict({
+                    "path": [root + f.path for f in found], "length": [f.size or 0 for f in found],
+                    "folder": [f.type == fs.FileType.Directory for f in found]}, schema)
+
+
 def landed_listing(spark: SparkSession, root: str, bucket: str) -> DataFrame:
     """Files under ``root`` (the bucket's folder) with their size and their
     object path ``bucket/<path below root>``; metadata only, content not read.
 
-    The source leaves out empty files, so the names come from its file index
-    (which the driver holds in any case) and a name without a row is empty."""
-    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
-    below = re.sub("/+", "/", re.sub(scheme, "", root)).rstrip("/")
+    Folders are listed in tasks, level by level: a level is a table of the
+    folders found in the one before, and no name comes to the driver.  Names
+    with a leading ``_`` or ``.`` are not files of the zone; empty files are."""
+    below = re.sub("/+", "/", re.sub(_SCHEME, "", root)).rstrip("/")
     if not below.startswith("/"):
         raise ValueError(f"the root must be an absolute path or a URI: {root}")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    names = spark.createDataFrame([(re.sub(scheme, "", unquote(f)),) for f in files.inputFiles()], "path string")
-    sizes = files.select(F.regexp_replace("path", scheme, "").alias("path"), "length")
+    local = re.match("(file:)?/", root)
+    here = below if local else root.rstrip("/")
+    level, files = spark.createDataFrame([(here,)], "path string"), []
+    pending = 1
+    while pending:
+        # a task takes a few folders, whose sizes nobody knows yet
+        spread = level.repartition(min(pending, LISTING_TASKS), F.xxhash64("path"))
+        listed = freeze(spread.mapInArrow(_children, "path string, length long, folder boolean"), "listing")
+        files.append(listed.where("not folder"))
+        level = listed.where("folder").select("path")
+        pending = level.count()
     rel = F.substring("path", len(below) + 2, 1 << 20)
-    return names.join(sizes, "path", "left").select(
-        "path", F.coalesce("length", F.lit(0).cast("long")).alias("length"), F.concat_ws("/", F.lit(bucket), rel).alias("object_path"))
+    return reduce(DataFrame.unionByName, files).select(F.regexp_replace("path", _SCHEME, "").alias("path"), "length") \
+        .select("path", "length", F.concat_ws("/", F.lit(bucket), rel).alias("object_path"))
 
 
 def landing_report(manifest: DataFrame, landed: DataFrame, bucket: str, prefix: str,

@@ -79,6 +79,24 @@ def test_landing_below_a_nested_root(spark, tmp_path):
         landed_listing(spark, "data", "data")
 
 
+def test_folders_are_listed_level_by_level(spark, tmp_path):
+    root = tmp_path / "zone é%20"
+    want = {}
+    for i in range(30):
+        name = f"raw/c{i % 3}/d {i % 5}/f{i},é.csv"
+        write(root / name, "x" * i)
+        want[f"zone/{name}"] = i
+    for hidden in ("raw/_tmp/f", "raw/.git/f", "raw/c0/_SUCCESS"):
+        write(root / hidden, "abc")
+    (root / "raw" / "empty").mkdir()
+    for given in (str(root), f"file://{root}"):
+        got = landed_listing(spark, given, "zone").collect()
+        assert {r.object_path: r.length for r in got} == want and len(got) == 30
+        assert all((tmp_path / r.path).exists() for r in got)
+    (tmp_path / "nothing").mkdir()
+    assert landed_listing(spark, str(tmp_path / "nothing"), "b").count() == 0
+
+
 def scenarios_file(tmp_path):
     full = {"commune": "full", **{f: 2.0 for f in SCENARIO_FEATURES}}
     lacking = {k: v for k, v in full.items() if k != "taux_hlm"} | {"commune": "lacking"}
