@@ -10,27 +10,32 @@ digits so the last float bits of sums do not depend on the engine.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora.functions.clean import clean_double, clean_int
-from agora.operators.keys import dense_key
-from agora.operators.quality import evaluate_rules, fail_count, quality_summary
+from agora.operators.keys import dense_key, freeze, in_scratch, scratch
+from agora.operators.quality import LOG_SCHEMA, WatchedRules, evaluate_rules, fail_count, quality_summary
 from agora.operators.reshape import with_provenance
 from agora.operators.scoring import (LinearModel, dummy_name, expand_candidates, one_hot_align,
-                                     predict_scores as _predict_scores, ranking, vote_allocation as _alloc,
-                                     winners, with_status, CANDIDATS)
+                                     predict_scores as _predict_scores, ranking, score_with_pipeline,
+                                     vote_allocation as _alloc, winners, with_status, CANDIDATS)
+from agora.operators.training import fit_model, known_candidates, load_model, save_model, training_rows
 from agora.plans import bronze, gold, governance
 from agora.plans import inputs as I
-from agora.sources.ingest import ingest_summary as _ingest_summary, landing_report
+from agora.sources.ingest import ingest_summary as _ingest_summary, landed_listing, landing_report
 from agora.plans.features import build_feature_mart, socio_facts
-from agora.sources.raw import read_testdata
+from agora.session import ensure_checkpoint_dir
+from agora.sources.raw import read_testdata, read_text_csv
+from agora.sources.tables import bucketed_table, read_table, replace_table
 
 LOAD_TS = _dt.datetime(2026, 1, 1, 2, 0, 0)
 END_TS = _dt.datetime(2026, 1, 1, 2, 30, 0)
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+BUCKETS = 8
 
 
 class Build:
@@ -93,13 +98,16 @@ def q_clean_int(spark, sf):
 
 
 # Bronze builders ---------------------------------------------------------------
+def _association_files(spark, sf):
+    orders = read_testdata(spark, sf, "orders")
+    return [orders.where(F.col("o_orderpriority").isin([p.strip("'") for p in branch]))
+                  .selectExpr(*I.ASSOC_ITEMS[:2]) for branch in I.ASSOC_BRANCHES]
+
+
 @_memo
 def associations(b):
     """B1 over three 'files' (orders split by priority), UNION ALL."""
-    orders = read_testdata(b.spark, b.sf, "orders")
-    files = [orders.where(F.col("o_orderpriority").isin([p.strip("'") for p in branch]))
-                   .selectExpr(*I.ASSOC_ITEMS[:2]) for branch in I.ASSOC_BRANCHES]
-    return bronze.association_counts(files, prefixes=I.ASSOC_PREFIXES, active=I.ASSOC_ACTIVE)
+    return bronze.association_counts(_association_files(b.spark, b.sf), prefixes=I.ASSOC_PREFIXES, active=I.ASSOC_ACTIVE)
 
 
 @_memo
@@ -236,10 +244,77 @@ def _q(builder):
     return run
 
 
+# Stored tables --------------------------------------------------------------
+def _place(spark, name: str) -> str:
+    """A new path in the shared folder; an open scratch block removes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/agora-{name}-{uuid.uuid4().hex}"
+    in_scratch(path)
+    return path
+
+
+def q_csv_folder(spark, sf):
+    """S1, S2, B1: three association files of one folder, each with its
+    columns in another order, read as a whole by their names."""
+    folder = _place(spark, "csv")
+    for i, df in enumerate(_association_files(spark, sf)):
+        columns = sorted(df.columns, reverse=i % 2 == 1)
+        df.select(*columns, F.lit(i).alias("file")).select(*(["file", *columns] if i == 2 else columns)) \
+            .write.option("header", True).csv(f"{folder}/{i}")
+    raw = read_text_csv(spark, f"{folder}/*", ["adrs_codeinsee", "position"])
+    return bronze.association_counts(raw, prefixes=I.ASSOC_PREFIXES, active=I.ASSOC_ACTIVE)
+
+
+def q_table_replace(spark, sf):
+    """K1: a table, replaced by a later load; readers follow its pointer."""
+    path, loaded = _place(spark, "table"), associations(spark, sf)
+    replace_table(loaded.where(F.col("nb_associations") > 1), path)
+    replace_table(loaded, path)
+    return read_table(spark, path)
+
+
+def q_ordered_table(spark, sf):
+    """O1: B6 stored in its order across files; one department read back."""
+    rows = candidates_pct(Build(spark, sf))
+    stored = replace_table(rows, _place(spark, "ordered"), [("code_departement", False), ("code_commune", False), ("voix", True)])
+    return _r6(stored.where(F.col("code_departement") == I.CANDIDATE_DEPARTMENTS[1]))
+
+
+def q_facts_bucketed(spark, sf):
+    """J1 in F2-F7: Bronze and the dimension bucketed by commune code, so that
+    the facts join without an exchange; rows and key sum of each fact."""
+    b = Build(spark, sf)
+
+    def kept(builder):
+        name = f"agora_{builder.__name__}_{uuid.uuid4().hex}"
+        return bucketed_table(builder(b), name, "code_commune", BUCKETS, _place(spark, name))
+
+    dim, people, crimes, votes, clubs = map(kept, (communes, socio, crime_clean, elections, associations))
+    facts = {"participation": gold.fact_participation(votes, dim, LOAD_TS, with_key=False),
+             "population": gold.fact_population(people, dim, LOAD_TS, with_key=False),
+             "revenu": gold.fact_revenu(people, dim, LOAD_TS, with_key=False),
+             "economie": gold.fact_economie(people, dim, clubs, LOAD_TS, with_key=False),
+             "securite": gold.fact_securite(crimes, dim, LOAD_TS, with_key=False),
+             "logement": gold.fact_logement(people, dim, LOAD_TS, with_key=False)}
+    return bronze.union_all([f.agg(F.count(F.lit(1)).alias("n"), F.sum("fk_commune").alias("keys")).select(F.lit(k).alias("fact"), "n", "keys")
+                             for k, f in facts.items()])
+
+
+def q_landing_files(spark, sf):
+    """K7, S7: files of one folder per priority, listed in tasks; bytes per folder."""
+    root = _place(spark, "landed")
+    orders = read_testdata(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("value"), F.col("o_orderpriority").alias("category"))
+    orders.write.partitionBy("category").text(f"{root}/raw")
+    listed = landed_listing(spark, root, I.BUCKET)
+    folder = F.regexp_extract("object_path", "^(.*)/[^/]*$", 1)
+    return listed.groupBy(F.url_decode(folder).alias("folder")).agg(F.sum("length").alias("total_octets"))
+
+
 def q_share_of_partition(spark, sf):
-    """B6 in its declared order (O2): department, commune, votes descending."""
-    return _r6(candidates_pct(Build(spark, sf))).orderBy(
-        "code_departement", "code_commune", F.col("voix").desc_nulls_last())
+    """B6 in its declared order (O2): department, commune, votes descending,
+    NULLs last."""
+    raw = I.ORDERS_CANDIDATES.frame(spark, sf)
+    shares = bronze.candidate_shares(raw, departments=I.CANDIDATE_DEPARTMENTS, ordered=True)
+    return _r6(with_provenance(shares, I.CANDIDATES_SOURCE, LOAD_TS))
 
 
 # W3 / G1 / G3-G7 ---------------------------------------------------------------
@@ -315,6 +390,17 @@ def suite(b):
     return _log(b, [r.id_check for r in governance.RULES])
 
 
+def q_qc_observed(spark, sf):
+    """K5: the same rows, the rules counted by the writes that store the tables."""
+    b, log = Build(spark, sf), []  # 18 rows in all
+    with scratch(spark):
+        for name, rules in governance.rules_by_table().items():
+            watched = WatchedRules(rules)
+            stored = freeze(watched.watch(TABLE_BUILDERS[name](b)), "watched")
+            log += governance.watched_log({name: stored}, {name: watched}, LOAD_TS).collect()
+    return _r6(spark.createDataFrame(log, LOG_SCHEMA))
+
+
 def q_qc_empty(spark, sf):
     empty = (read_testdata(spark, sf, "orders").where(F.col("o_totalprice") < 0)
              .select(F.col("o_custkey").cast("string").alias("code_commune"),
@@ -413,11 +499,29 @@ def q_predict_winner(spark, sf):
     return _r6(winners(ranking(scenarios(spark, sf), MODEL, id_col="id_commune"), id_col="id_commune"))
 
 
+# M3 --------------------------------------------------------------------------
+FIT_NUMBERS = ("population_totale_2022", "taux_cambriolage")
+
+
+def q_model_fit_scores(spark, sf):
+    """M3: a regression fitted on the mart's communes and their votes, saved,
+    loaded and applied to every commune and known candidate."""
+    b = Build(spark, sf)
+    rows = training_rows(scenarios(b), results_nokey(b), segment_candidates(b))
+    path = _place(spark, "model")
+    save_model(fit_model(rows, FIT_NUMBERS), path)
+    model = load_model(path)
+    return _r6(score_with_pipeline(scenarios(b), model, candidates=known_candidates(model), id_col="id_commune"))
+
+
 QUERIES = {
     "clean_double": q_clean_double,
     "clean_int": q_clean_int,
     "wide_clean": _q(socio),
     "union_filter_count": _q(associations),
+    "csv_folder": q_csv_folder,
+    "table_replace": q_table_replace,
+    "ordered_table": q_ordered_table,
     "pivot_indicators": _q(crime),
     "manual_patch": _q(crime_patched),
     "null_to_zero": _q(crime_clean),
@@ -434,16 +538,20 @@ QUERIES = {
     "fact_economy": _q(economy),
     "fact_security": _q(security),
     "fact_housing": _q(housing),
+    "facts_bucketed": q_facts_bucketed,
     **{name: qc(ids) for name, ids in QC_GROUPS.items()},
     "qc_empty": q_qc_empty,
     "qc_suite": _q(suite),
+    "qc_observed": q_qc_observed,
     "qc_summary": q_qc_summary,
     "qc_fail_count": q_qc_fail_count,
     "audit_log": q_audit_log,
     "load_history": q_load_history,
     "ingest_manifest": q_ingest_manifest,
     "ingest_summary": q_ingest_summary,
+    "landing_files": q_landing_files,
     "feature_mart": _q(feature_mart),
+    "model_fit_scores": q_model_fit_scores,
     "one_hot_align": q_one_hot_align,
     "predict_scores": q_predict_scores,
     "vote_allocation": q_vote_allocation,

@@ -92,7 +92,7 @@ def test_shared_scans(spark):
         return sum("FileScan" in line and f"/{table}.parquet" in line for line in plan.split("\n"))
 
     assert scans("qc_unknown_member", "orders") == 1
-    assert scans("share_of_partition", "orders") == 2
+    assert scans("share_of_partition", "orders") == 0  # parsed once, into the stored rows
     assert scans("feature_mart", "customer") == 1
 
 
@@ -101,6 +101,17 @@ def test_three_landing_statuses(spark):
     assert got == {"OK", "ERREUR_DOWNLOAD", "ERREUR_MINIO"}
 
 
+def test_facts_of_bucketed_tables_join_without_an_exchange(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = catalog.queries()["facts_bucketed"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 7 and "hashpartitioning" not in plan  # the aggregates' exchanges are all that is left
+    assert plan.count("Exchange") == plan.count("Exchange SinglePartition")
+
+
 def test_candidate_shares_come_in_order(spark):
     got = [(r.code_departement, r.code_commune, r.voix is None, -(r.voix or 0))
            for r in catalog.queries()["share_of_partition"](spark, SF001).collect()]
