@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agora.llm.common import lower_ascii, store
-from agora.llm.verdicts import maybe_in, named_rows
+from agora.llm.verdicts import maybe_in, named_rows, without
 
 
 def exact_dedup(docs: DataFrame, keep: str = "smallest",
@@ -51,20 +51,24 @@ def drop_copies(docs: DataFrame, keep: str = "smallest",
     ``keep`` id, a null id last.  Among rows that share id and text a hash of
     their other columns decides, then their place in the files.
 
-    Only hashes are grouped at first.  Rows whose hash is nobody else's stay
-    where they are; only the others' texts meet, grouped by hash *and* bytes
-    with partial aggregation before the shuffle, and join the row that stays."""
+    A narrow table of hashes, with what ranks the rows, is written first.
+    Texts travel only for rows whose hash is not theirs alone: grouped by hash
+    *and* bytes, partial before the shuffle.  Then the rows lost are taken out
+    in place (see ``verdicts``)."""
     def contains_map(kind) -> bool:
         return "map<" in kind.simpleString()
 
     norm = lower_ascii(F.coalesce("doc.text", F.lit("")))
-    rows = named_rows(docs).withColumn("hash", content_hash(norm))
-    shared = store(rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.xxhash64("hash").alias("h")), "shared")
-    rows = maybe_in(rows, F.xxhash64("hash"), shared, "company")
+    rows = named_rows(docs)
     others = [F.col(f"doc.`{f.name}`") for f in docs.schema if not contains_map(f.dataType)]
     no_id = F.col("doc.doc_id").isNull()
-    pick, first = {"smallest": (F.min_by, no_id), "largest": (F.max_by, ~no_id)}[keep]
+    pick, first = {"smallest": (F.min, no_id), "largest": (F.max, ~no_id)}[keep]
     rank = F.struct(first.alias("a"), F.col("doc.doc_id").alias("b"), F.xxhash64(*others).alias("c"), "row")
-    stay = rows.where("company").groupBy("hash", norm.alias("norm")).agg(pick("row", rank).alias("stay")).select("stay")
-    met = rows.where("company").join(stay, F.col("row") == F.col("stay"), "left_semi")
-    return rows.where("not company").select("doc.*").unionByName(met.select("doc.*"))
+    hashes = store(rows.select(content_hash(norm).alias("hash"), rank.alias("rank")), "hashes")
+    shared = hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    met = store(hashes.join(shared, "hash", "left_semi").select("hash", "rank", F.col("rank.row").alias("met")), "shared-hashes")
+    near = maybe_in(rows, F.xxhash64("row"), met.select(F.xxhash64("met").alias("h")), "some").where("some") \
+        .join(met, F.col("row") == F.col("met")).select("hash", norm.alias("norm"), "rank")
+    stay = near.groupBy("hash", "norm").agg(pick("rank").alias("stay")).select(F.col("stay.row").alias("stay"))
+    lost = store(met.join(stay, F.col("met") == F.col("stay"), "left_anti").select(F.col("met").alias("lost")), "copies")
+    return without(rows, lost)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from agora.llm.common import binary_list, store
 from agora.llm.components import connected_components
-from agora.llm.verdicts import maybe_in, named_rows
+from agora.llm.verdicts import named_rows, without
 
 SEED = 42
 LANES = 64
@@ -221,6 +221,4 @@ def drop_near_copies(docs: DataFrame, shingle_words: int = 3, radius: int = 2, j
     if not judge_null_ids:
         lost = lost.where("doc_id is not null")
     lost = store(lost.select(F.struct("file", "place").alias("lost")), "near-copies")
-    rows = maybe_in(rows, F.xxhash64("row"), lost.select(F.xxhash64("lost").alias("h")), "judged")
-    left = rows.where("judged").join(lost, F.col("row") == F.col("lost"), "left_anti")
-    return rows.where("not judged").select("doc.*").unionByName(left.select("doc.*"))
+    return without(rows, lost)

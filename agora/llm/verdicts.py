@@ -55,3 +55,11 @@ def maybe_in(docs: DataFrame, hashed: Column, members: DataFrame, flag: str) ->
     kept = [F.col(f"`{c}`") for c in docs.columns]
     placed = docs.select("*", F.pmod(hashed, F.lit(bits)).alias("__bit")).withColumn("__map", F.expr(f"__bit div {PER_BITMAP}"))
     return placed.join(F.broadcast(maps), "__map", "left").select(*kept, is_set.alias(flag))
+
+
+def without(rows: DataFrame, lost: DataFrame) -> DataFrame:
+    """The documents of ``rows`` (see ``named_rows``) whose name isn't in the
+    stored column ``lost``; only what the bitmap can't tell apart is joined."""
+    flagged = maybe_in(rows, F.xxhash64("row"), lost.select(F.xxhash64("lost").alias("h")), "judged")
+    judged = flagged.where("judged").join(lost.select("lost"), F.col("row") == F.col("lost"), "left_anti")
+    return flagged.where("not judged").select("doc.*").unionByName(judged.select("doc.*"))
