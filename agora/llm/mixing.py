@@ -88,12 +88,15 @@ def packed(docs: DataFrame, weights: tuple[float, ...], cap: float, block_words:
     """Documents placed in their source's stream, and the sources.
 
     places: ``row, doc_id, size, n, start, end``; the words start .. end-1
-    of source ``n``'s stream are the document's.  sources: what
+    of source ``n``'s stream are the document's.  A stream is ordered by a
+    hash of id and text, so the files that the rows come in don't matter; rows
+    equal in both stand in for one another.  sources: what
     ``source_targets`` returns plus ``blocks`` (of the source) and
     ``slots`` (blocks the mix takes, repeats counted).
     """
     sized = store(docs.select("doc_id", F.col("source").cast("string").alias("source"),
-                              F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+                              F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+                              F.xxhash64(F.col("doc_id").cast("long"), "text").alias("content"))
                   .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     sources = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     sources = store(
@@ -104,8 +107,8 @@ def packed(docs: DataFrame, weights: tuple[float, ...], cap: float, block_words:
     buckets = int(sized.count() ** 0.5) + 1
     named = sources.select(F.col("source").alias("named"), "n")
     rows = sized.join(named, F.col("source").eqNullSafe(F.col("named"))).drop("named", "source") \
-        .withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
-    here = Window.partitionBy("n", "bucket").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .withColumn("bucket", F.pmod("content", F.lit(buckets)))
+    here = Window.partitionBy("n", "bucket").orderBy("content", "size", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy("n").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("n", "bucket").agg(F.sum("size").alias("words")) \
         .withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words")
