@@ -122,7 +122,7 @@ def regions(text: str):
     last = 0
     for m in _AT.finditer(text):
         tail = _LOOSE.match(text, m.end())
-        seg = text[max(last, m.start() - 64):m.start()]
+        seg = text[last:m.start()]  # these pieces don't overlap, so all of them are one pass
         local = len(seg) - len(seg.rstrip(_LOCAL))
         if tail and local:
             start = m.start() - local
