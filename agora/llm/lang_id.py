@@ -8,10 +8,14 @@ vector of scores per row, which is all that prediction reads.
 
 Training takes a bounded sample: about ``TRAIN_ROWS`` labelled documents,
 shared out evenly over the languages (a hot language or source weighs no
-more), each as hashed counts of its whole text.  A part of it is held back
-to calibrate: one temperature for the probabilities, and the probability
-under which a prediction is rejected, set so that at most ``REJECT`` of
-those documents fall below, and at most ``CHANCE`` times an even guess.
+more), each as hashed counts of its whole text.  Every second one also gives
+a text in no language, made from it: its letters shuffled, random words,
+another script, runs of one letter, symbols, random strings.  These teach one
+more output, ``none``, which is never predicted.  A part of the sample is
+held back to calibrate: one temperature for the probabilities, and the
+probability of ``none`` above which a text is rejected, as high as leaves
+``REJECT`` of the clean texts held back above it.  The shares of both kinds
+that it rejects stay with the model.
 
 Defined results: null text and text without a letter are ``und`` with
 score 0 and rejected; an empty ``lang`` is a value like any other, a null
@@ -32,7 +36,7 @@ from pyspark.sql import types as T
 
 from agora.llm.common import binary_list, own_names, read_with
 
-TRAIN_ROWS, REJECT, CHANCE = 1600, 0.001, 1.5
+TRAIN_ROWS, REJECT = 1600, 0.002
 ROWS_BITS, DIM, GRAMS = 14, 16, (1, 2, 3, 4)
 EPOCHS, RATE, BATCH, SEED = 20, 0.5, 16, 42
 PIECE = 1 << 20
@@ -64,17 +68,46 @@ def counts_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return used.astype(np.int32), (total[used] / max(1, total.sum())).astype(np.float32)
 
 
+#: First letter and number of letters of some scripts.
+SCRIPTS = [(0x61, 26), (0x430, 32), (0x3B1, 25), (0x5D0, 27), (0x627, 36), (0x905, 53), (0x3041, 83), (0x30A1, 83), (0x4E00, 20000), (0xAC00, 11000)]
+SYMBOLS = list("(){}[];:=<>+-*/%&|!?#$@^~_.,\"'0123456789")
+
+
+def no_language(text: str, kind: int, rng: np.random.Generator) -> str:
+    """A text in no language, of the words' number and lengths, 400 at most."""
+    words = text.split()[:400] or ["x"]
+    sizes = [len(w) for w in words]
+    if kind == 0:
+        letters = np.array(list("".join(words)))
+        rng.shuffle(letters)
+        cuts = np.cumsum(sizes)
+        return " ".join("".join(letters[b - n:b]) for b, n in zip(cuts, sizes))
+    if kind in (1, 2):
+        first, n = SCRIPTS[0 if kind == 1 else int(rng.integers(1, len(SCRIPTS)))]
+        return " ".join("".join(map(chr, first + rng.integers(0, n, min(k, 30)))) for k in sizes)
+    if kind == 3:
+        return " ".join(str(rng.choice(list("ABCXYZabcxyz"))) * int(rng.integers(3, 12)) for _ in sizes)
+    if kind == 4:
+        return " ".join("".join(rng.choice(SYMBOLS, int(rng.integers(1, 6)))) + w[:int(rng.integers(0, 5))] + "".join(rng.choice(SYMBOLS, 2)) for w in words)
+    return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"), int(rng.integers(20, 80))))
+                    for _ in sizes[:20])
+
+
+KINDS_OF_NONE = 6
+
+
 @dataclass
 class LanguageModel:
     langs: list[str]
-    scores: np.ndarray  # [rows, langs]
+    scores: np.ndarray  # [rows, langs and none]
     bias: np.ndarray
     temperature: float
-    threshold: float
+    threshold: float  # of none's probability
+    rejected: tuple[float, float]  # shares of clean texts and of those in no language, as held back
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         """Averages over whole texts, long ones piece by piece."""
-        out = np.zeros((len(texts), len(self.langs)))
+        out = np.zeros((len(texts), len(self.bias)))
         at = 0
         while at < len(texts):
             to, size = at, 0
@@ -91,7 +124,7 @@ class LanguageModel:
         sizes = np.array([len(t) + max(GRAMS) - 1 for t in texts])
         data = _bytes((b"\0" * (max(GRAMS) - 1)).join(texts))
         starts = np.cumsum(sizes) - sizes
-        total = np.zeros((len(texts), len(self.langs)))
+        total = np.zeros((len(texts), len(self.bias)))
         for n in GRAMS:
             rows = self.scores[hashed(data, n)]
             cut = np.minimum(starts + sizes - (max(GRAMS) - 1), len(rows))
@@ -104,17 +137,18 @@ class LanguageModel:
         return total / grams[:, None] + self.bias
 
     def _long(self, text: bytes) -> np.ndarray:
-        data, total = _bytes(text), np.zeros(len(self.langs))
+        data, total = _bytes(text), np.zeros(len(self.bias))
         for a in range(0, len(text), PIECE):
             part = data[a:a + PIECE + max(GRAMS) - 1]
             for n in GRAMS:
                 total += self.scores[hashed(part, n)].sum(axis=0, dtype=np.float64)
         return total / (len(GRAMS) * len(text)) + self.bias
 
-    def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The likeliest language, its probability, and whether it is rejected."""
         p = softmax(self.logits(texts))
-        best = p.argmax(axis=1)
-        return best, p[np.arange(len(p)), best]
+        best = p[:, :-1].argmax(axis=1)
+        return best, p[np.arange(len(p)), best], p[:, -1] > self.threshold
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -122,11 +156,11 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -> LanguageModel:
-    """``samples``: language, rows used, shares.  Every fourth one (of each
-    language) calibrates, the others train."""
-    langs = sorted({s[0] for s in samples})
-    number, order = {x: i for i, x in enumerate(langs)}, {}
+def train(samples: list[tuple[str | None, np.ndarray, np.ndarray]], seed: int = SEED) -> LanguageModel:
+    """``samples``: language (``None``: in none), rows used, shares.  Every
+    fourth one (of each language) calibrates, the others train."""
+    langs = sorted({s[0] for s in samples if s[0] is not None})
+    number, order = {None: len(langs)} | {x: i for i, x in enumerate(langs)}, {}
     learn, check = [], []
     for s in samples:
         order[s[0]] = order.get(s[0], 0) + 1
@@ -134,7 +168,7 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -
     check = check or learn
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (1 << ROWS_BITS, DIM))
-    weights, bias = rng.normal(0, 0.1, (DIM, len(langs))), np.zeros(len(langs))
+    weights, bias = rng.normal(0, 0.1, (DIM, len(langs) + 1)), np.zeros(len(langs) + 1)
     scale = 50.0  # averages over hundreds of grams are small; part of the input layer
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
@@ -153,9 +187,11 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = SEED) -
     truth = np.array([number[s[0]] for s in check])
     loss = lambda t: -np.log(np.maximum(softmax(raw / t)[np.arange(len(truth)), truth], 1e-300)).mean()
     temperature = min(np.geomspace(0.2, 20, 61).tolist(), key=loss)
-    sure = softmax(raw / temperature).max(axis=1)
-    threshold = min(CHANCE / len(langs), float(np.quantile(sure, REJECT)))
-    return LanguageModel(langs, scores.astype(np.float32), bias, temperature, threshold)
+    none = softmax(raw / temperature)[:, -1]
+    clean, made = none[truth < len(langs)], none[truth == len(langs)]
+    threshold = float(np.quantile(clean, 1 - REJECT, method="higher")) if len(clean) else 1.0
+    shares = tuple(float((x > threshold).mean()) if len(x) else 0.0 for x in (clean, made))
+    return LanguageModel(langs, scores.astype(np.float32), bias, temperature, threshold, shares)
 
 
 def train_language_model(docs: DataFrame, learn_from: Column, rows: int = TRAIN_ROWS) -> LanguageModel | None:
@@ -175,17 +211,20 @@ def train_language_model(docs: DataFrame, learn_from: Column, rows: int = TRAIN_
 
     def features(batches):
         for batch in batches:
-            found = [counts_of(t) for t in binary_list(batch, "text")]
+            texts, langs, picks = binary_list(batch, "text"), batch["lang"].to_pylist(), batch["pick"].to_pylist()
+            made = [(no_language(t.decode(), p // 2 % KINDS_OF_NONE, np.random.default_rng(p % (1 << 32))), p) for t, p in zip(texts, picks) if p % 2 == 0]
+            found = [counts_of(t) for t in [*texts, *(t.encode() for t, _ in made)]]
             yield pa.RecordBatch.from_arrays([
-                batch["lang"], batch["pick"], pa.array([f[0] for f in found], pa.list_(pa.int32())),
+                pa.array(langs + [None] * len(made), pa.string()), pa.array(picks + [p for _, p in made], pa.int64()),
+                pa.array([f[0] for f in found], pa.list_(pa.int32())),
                 pa.array([f[1] for f in found], pa.list_(pa.float32()))], ["lang", "pick", "rows", "shares"])
 
     got = sample.select("lang", "text", "pick") \
         .mapInArrow(features, "lang string, pick long, rows array<int>, shares array<float>") \
-        .orderBy("pick").limit(2 * rows).toArrow().combine_chunks()
+        .orderBy("pick").limit(3 * rows).toArrow().combine_chunks()
     if not got.num_rows:
         return None
-    order = sorted(range(got.num_rows), key=lambda i: (got["pick"][i].as_py(), got["lang"][i].as_py()))
+    order = sorted(range(got.num_rows), key=lambda i: (got["pick"][i].as_py(), got["lang"][i].as_py() or "", got["lang"][i].is_valid))
     return train([(got["lang"][i].as_py(), got["rows"][i].values.to_numpy(), got["shares"][i].values.to_numpy())
                   for i in order])
 
@@ -204,11 +243,10 @@ def identify_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame
             rows = pa.Table.from_batches([batch])
             letter = rows["__letter"].to_numpy()
             spoken = letter & (model is not None)
-            pred, score = np.full(len(spoken), UNKNOWN, object), np.zeros(len(spoken))
+            pred, score, rejected = np.full(len(spoken), UNKNOWN, object), np.zeros(len(spoken)), ~letter
             if spoken.any():
-                best, score[spoken] = model.predict(binary_list(rows.filter(pa.array(spoken)), "text"))
+                best, score[spoken], rejected[spoken] = model.predict(binary_list(rows.filter(pa.array(spoken)), "text"))
                 pred[spoken] = np.array(model.langs, object)[best]
-            rejected = ~letter | (score < (model.threshold if model else 0))
             rows = rows.drop_columns(["__letter"])
             for f, values, kind in zip(added, (pred, score, rejected), (pa.string(), pa.float64(), pa.bool_())):
                 rows = rows.append_column(f.name, pa.array(values, kind))

@@ -17,10 +17,10 @@ from agora.session import ensure_checkpoint_dir
 from agora.llm.common import table
 from agora.llm.decontaminate import drop_contaminated, find_contamination, hit_words
 from agora.llm.html_text import Page, html_text
-from agora.llm.lang_id import drop_rejected, identify_language, train_language_model
+from agora.llm.lang_id import KINDS_OF_NONE, drop_rejected, identify_language, no_language, train_language_model
 from agora.llm.lm_score import END, MARK, Lattice, held_out, lm_scores
 from agora.llm.mixing import draw_slots, mix_sources, packed, permuted
-from agora.llm.pii import FEATURE_BITS, KINDS, base_spans, find_pii, find_spans, luhn, redact, train_pii_model
+from agora.llm.pii import FEATURE_BITS, KINDS, base_spans, find_pii, find_spans, luhn, redact, regions, train_pii_model
 
 SF = "/root/testdata/sf0.001"
 CLASH = "doc_id long, text string, lang string, source string, size long, hits string, n int, block int, lang_pred int"
@@ -75,6 +75,8 @@ def test_mix(spark):
     for s in sizes:
         assert abs(taken[s] - target[s]) <= max(16, 0.03 * target[s])
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, mix_sources(docs, block_words=8).collect()), key=repr)
+    again = mix_sources(docs.orderBy(F.rand(3)).repartition(7), block_words=8).collect()  # other files, the same mix
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
     assert mix_sources(docs.limit(0)).count() == 0
     assert [r.taken for r in mix_sources(docs.where("doc_id < 3 or doc_id = 7")).collect()] == [0] * 4
 
@@ -156,6 +158,25 @@ def test_language_held_out_accuracy(spark):
     assert {r.lang_pred for r in identify_language(odd, train_language_model(odd.where("doc_id = 8"), F.lit(True))).collect()} == {"und", "de"}
 
 
+def test_what_is_in_no_language_is_rejected(spark):
+    """Clean documents stay; lettered junk, other scripts and code go."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = train_language_model(docs, ~held_out(5, 0))
+    assert model.rejected[0] < 0.01 and model.rejected[1] > 0.9
+    clean = identify_language(docs.where(held_out(5, 0)), model)
+    assert clean.where("lang_rejected").count() <= 0.01 * clean.count()
+    rng, np_rng = random.Random(8), np.random.default_rng(8)
+    junk = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(rng.randrange(40, 400))) for _ in range(200)]
+    texts = [r.text for r in docs.where(held_out(5, 0)).limit(150).collect()]
+    junk += [no_language(t, k % KINDS_OF_NONE, np_rng) for k, t in enumerate(texts)]
+    known = ["Все люди рождаются свободными и равными в своем достоинстве и правах.", "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+             "AAAAAA BBBBBB CCCC", "for(i=0;i<n;i++){p[i]=q[i]*2;x+=p[i]%7;}if(x>0){s=x&0xff;}", "QmFzZTY0IGVuY29kZWQgc3RyaW5nIG9mIGJ5dGVz"]
+    found = identify_language(docs_of(spark, [(i, t, None, "s") for i, t in enumerate(junk + known)]), model)
+    kept = {r.doc_id for r in found.where("not lang_rejected").collect()}
+    assert sum(i < len(junk) for i in kept) < 0.1 * len(junk)
+    assert sum(i >= len(junk) for i in kept) <= 1
+
+
 def test_documents_without_any_label_stay(spark):
     odd = docs_of(spark, AWKWARD).withColumn("lang", F.lit(None).cast("string")).drop("lang_pred")
     assert {r.doc_id for r in drop_rejected(odd, train_language_model(odd, F.lit(True))).collect()} == {5, 6, 8}
@@ -207,6 +228,14 @@ def test_pii(spark):
     assert not train_pii_model(odd.limit(0)).any()
 
 
+def test_long_spelled_out_addresses_are_whole(spark):
+    local = "a" * 100 + "." + "b" * 300
+    text = f"mail {local} at example dot com or x"
+    spans = [(s["start"], s["end"]) for r in find_pii(docs_of(spark, [(1, text, None, "s")]), train_pii_model(table(spark, SF, "documents"))).collect()
+             for s in r.spans if s["kind"] == "email"]
+    assert all(a == 5 for a, _ in spans) and [r.start for r in regions(text)] == [5]
+
+
 def test_pii_is_linear():
     for t in ("@" * 100000, "1" * 100000, "a" * 100000 + "@", "+1" * 50000, " at " * 50000, "a@b.c" * 20000):
         find_spans(t, np.zeros(1 << FEATURE_BITS))
