@@ -24,7 +24,7 @@ from agora.operators.scoring import (LinearModel, dummy_name, expand_candidates,
                                      predict_scores as _predict_scores, ranking, score_with_pipeline,
                                      vote_allocation as _alloc, winners, with_status, CANDIDATS)
 from agora.operators.training import fit_model, known_candidates, load_model, save_model, training_rows
-from agora.plans import bronze, gold, governance
+from agora.plans import bronze, gold, governance, pipeline
 from agora.plans import inputs as I
 from agora.sources.ingest import ingest_summary as _ingest_summary, landed_listing, landing_report
 from agora.plans.features import build_feature_mart, socio_facts
@@ -417,19 +417,34 @@ def q_qc_fail_count(spark, sf):
 
 
 # Audit -------------------------------------------------------------------------
+def q_audit_counts(spark, sf):
+    """L1 with the end rows' counts filled from the data."""
+    b = Build(spark, sf)
+    raw = I.CUSTOMER_SOCIO.frame(spark, sf)
+    audit = governance.audit_with_counts(spark, LOAD_TS, END_TS, [(raw, socio(b)), (socio(b), population_nokey(b))])
+    return audit.withColumn("date_chargement", F.date_format("date_chargement", TS_FORMAT))
+
+
+def _bronze_tables(b, load_ts):
+    """The Bronze zone of the raw inputs derived from the driver's tables."""
+    return {"vie_associative_commune": with_provenance(associations(b), I.ASSOC_SOURCE, load_ts),
+            "criminalite_commune": crime_patched(b), "socio_demo_communes": socio(b),
+            "elections_communes": elections(b), "presidentielle_2022_communes_candidats_pct": candidates_pct(b)}
+
+
 @_memo
-def audit(b):
-    raw = I.CUSTOMER_SOCIO.frame(b.spark, b.sf)
-    return governance.audit_with_counts(b.spark, LOAD_TS, END_TS,
-                                        [(raw, socio(b)), (socio(b), population_nokey(b))])
+def loaded(b):
+    """Every table of one end-to-end run over the driver's tables."""
+    return pipeline.run(b.spark, b, _place(b.spark, "warehouse"), LOAD_TS, END_TS, _bronze_tables)
 
 
 def q_audit_log(spark, sf):
-    return audit(spark, sf).withColumn("date_chargement", F.date_format("date_chargement", TS_FORMAT))
+    """L1: the rows that a run of the pipeline writes."""
+    return loaded(Build(spark, sf))["META_CHARGEMENT"].withColumn("date_chargement", F.date_format("date_chargement", TS_FORMAT))
 
 
 def q_load_history(spark, sf):
-    h = governance.load_history(audit(spark, sf))
+    h = governance.load_history(loaded(Build(spark, sf))["META_CHARGEMENT"])
     return h.withColumn("date_chargement", F.date_format("date_chargement", TS_FORMAT))
 
 
@@ -546,6 +561,7 @@ QUERIES = {
     "qc_summary": q_qc_summary,
     "qc_fail_count": q_qc_fail_count,
     "audit_log": q_audit_log,
+    "audit_counts": q_audit_counts,
     "load_history": q_load_history,
     "ingest_manifest": q_ingest_manifest,
     "ingest_summary": q_ingest_summary,

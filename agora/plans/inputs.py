@@ -55,6 +55,7 @@ ASSOC_ITEMS = ("CAST(o_custkey AS STRING) AS adrs_codeinsee", "o_orderstatus AS
                "o_orderpriority")
 ASSOC_PREFIXES = ("1", "2", "3")
 ASSOC_ACTIVE = "F"
+ASSOC_SOURCE = "orders.parquet"
 
 # events -> crime file (B2) -----------------------------------------------------
 EV_CENTS = "CAST(ROUND(value * 100) AS BIGINT)"

@@ -14,7 +14,7 @@ by the writes themselves, but for the one on distinct keys.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,8 +86,10 @@ def _now() -> _dt.datetime:
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
-        start_ts: _dt.datetime | None = None, end_ts: _dt.datetime | None = None) -> dict[str, DataFrame]:
+        start_ts: _dt.datetime | None = None, end_ts: _dt.datetime | None = None,
+        build_bronze: Callable[..., dict[str, DataFrame]] = B.build_bronze) -> dict[str, DataFrame]:
     """Run the whole pipeline; returns the stored tables by name.
+    ``build_bronze`` makes the Bronze tables of ``raw`` and the start time.
 
     If a load fails its end rows say FAILED, with the error, and the error
     goes on to the caller.  End rows are stamped when the load ends, unless
@@ -97,7 +99,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
     quality = open_log(spark, warehouse, "DATA_QUALITY_LOG", LOG_SCHEMA)
     _append(GV.audit_frame(spark, GV.audit_start_rows(start_ts)), audit, GV.AUDIT_SCHEMA)
     try:
-        bronze, log = _store_zone(B.build_bronze(raw, start_ts), warehouse, "bronze", GV.BRONZE_RULES, start_ts)
+        bronze, log = _store_zone(build_bronze(raw, start_ts), warehouse, "bronze", GV.BRONZE_RULES, start_ts)
         clean, more = _store_zone({"criminalite_commune_clean": B.build_clean_crime(bronze["criminalite_commune"])},
                                   warehouse, "bronze", GV.BRONZE_RULES, start_ts)
         bronze |= clean
