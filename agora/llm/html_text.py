@@ -90,7 +90,7 @@ class Box:
         s = "".join(self.inline)
         self.inline = []
         if self.pre:
-            made = s.split("\n")
+            made = [x.rstrip(" ") for x in s.split("\n")]
         else:
             s = re.sub(" {2,}", " ", s).strip(" ")
             made = [s] if s or keep_empty else []
@@ -118,7 +118,11 @@ def _number(value: str | None, default: int, most: int) -> int:
 
 
 def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
-    """Cells (lines, columns, rows they span) in aligned columns."""
+    """Cells (lines, columns, rows they span) in aligned columns.  No line
+    ends in a space."""
+    if all(len(row) < 2 and all(down == 1 for _, _, down in row) for row in rows):
+        cells = [lines for row in rows for lines, _, _ in row]  # one column: nothing to align, whatever is nested in it
+        return cells[0] if len(cells) == 1 else [x for lines in cells for x in lines]
     below: dict[int, int] = {}  # columns that a cell above still holds
     placed, width = [], {}
     for row in rows:
@@ -357,7 +361,8 @@ class Page:
         box.close_line()
         lines, tag = box.lines, box.tag
         if tag == "table":
-            lines = [*lines, *table_lines(box.rows)]
+            made = table_lines(box.rows)
+            lines = [*lines, *made] if lines else made
         elif tag in ("td", "th", "tr"):
             table = next((b for b in reversed(self.stack) if b.rows is not None), None)
             if table is not None:
@@ -375,7 +380,7 @@ class Page:
                     top.items = _number(top.attrs.get("start"), 1, 10**9) - 1
                 top.items = _number(box.attrs.get("value"), top.items + 1, 10**9)
                 mark = f"{top.items}. "
-            lines = [mark + lines[0], *(" " * len(mark) + x if x else x for x in lines[1:])] if lines else [mark.strip()]
+            lines = [(mark + lines[0]).rstrip(" "), *(" " * len(mark) + x if x else x for x in lines[1:])] if lines else [mark.strip()]
         elif tag in ("dd", "blockquote"):
             lines = [INDENT + x if x else x for x in lines]
         if not (box.shown or lines):

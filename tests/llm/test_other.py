@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -283,6 +284,15 @@ def test_html_misnested_tables(html, text):
     assert Page(html).text == text
 
 
+def test_html_of_deeply_nested_tables():
+    deep = 8000
+    start = time.process_time()
+    page = Page("<table><tr><td>x" * deep)
+    assert time.process_time() - start < 1.0
+    assert [x for x in page.text.split("\n") if x] == ["x"] * deep
+    assert Page("<table><tr><td>a<td><pre>b  \n c</pre><tr><td><ul><li>d</ul><td>e</table>").text == "a    b\n      c\n- d  e"
+
+
 def test_html_pages(spark):
     from html.parser import HTMLParser
 
