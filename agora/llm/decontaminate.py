@@ -9,9 +9,9 @@ all) begin no test suffix are left out of the sort, as no match can start
 there: a bit table of those word groups decides that for whole arrays.
 
 The benchmark goes to the executors in parts of a bounded number of bytes
-(``part_bytes``), one after another; each pass adds its hits to the
-documents and is written to the shared folder before the next.  Documents
-are never shuffled.
+(``part_bytes``), one after another.  With several parts each pass writes the
+hits of the documents that have some, by the names of their rows; at the end
+these documents, and no others, are joined to their hits (see ``verdicts``).
 
 Defined results: null text has no words; a document without words is not
 contaminated; items without words match nothing, a null ``item_id`` counts
@@ -23,13 +23,16 @@ ones are replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agora.llm.common import binary_list, own_names, read_with, store
+from agora.llm.common import binary_list, lower_ascii, own_names, read_with, store
+from agora.llm.verdicts import maybe_in, named_rows
 
 #: Bytes that separate words, after A-Z became a-z; all others are kept.
 _WORD_BYTE = [i >= 0x80 or 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A for i in range(256)]
@@ -37,6 +40,7 @@ _CLEAN = bytes((i + 32 if 0x41 <= i <= 0x5A else i) if 0x41 <= i <= 0x5A or _WOR
 LEAD = 3
 TABLE_BITS = 22
 SHARD_WORDS = 1 << 20
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 HIT = "array<struct<start:long,end:long>>"
 
 
@@ -133,9 +137,8 @@ def _shard(texts: list[bytes], tests: Tests):
 
 
 def _pass(docs: DataFrame, part, added: T.StructType) -> DataFrame:
-    """One part of the benchmark over all documents; adds to earlier hits."""
-    schema = T.StructType([f for f in docs.schema.fields if f.name not in added.names] + added.fields)
-    again = "hits" in docs.columns
+    """One part of the benchmark over all documents."""
+    schema = T.StructType(docs.schema.fields + added.fields)
 
     def run(batches):
         tests = part.value
@@ -150,10 +153,6 @@ def _pass(docs: DataFrame, part, added: T.StructType) -> DataFrame:
                 for out, new in zip((n_words, hits, items), _shard(texts[at:to], tests)):
                     out.extend(new)
                 at = to
-            if again:
-                hits = [(a or []) + b for a, b in zip(rows["hits"].to_pylist(), hits)]
-                items = [sorted({*(a or []), *b}) for a, b in zip(rows["items"].to_pylist(), items)]
-                rows = rows.drop_columns(added.names)
             kinds = (pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string()))
             for name, values, kind in zip(added.names, (n_words, hits, items), kinds):
                 rows = rows.append_column(name, pa.array(values, kind))
@@ -174,13 +173,26 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-2 * total // part_bytes))
     docs = read_with(docs, added.names)
-    for p in range(parts):
+
+    def tests(p: int):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == p).collect()  # about half of part_bytes
-        sent = spark.sparkContext.broadcast(Tests([(r["item"], r["text"].encode()) for r in own], window))
-        docs = _pass(docs, sent, added)
-        if p + 1 < parts:
-            docs = store(docs, "decontaminate")
-    return docs
+        return spark.sparkContext.broadcast(Tests([(r["item"], r["text"].encode()) for r in own], window))
+
+    if parts == 1:
+        return _pass(docs, tests(0), added)
+    rows = named_rows(docs)
+    texts, found = rows.select("row", "doc.text"), []
+    for p in range(parts):
+        found.append(store(_pass(texts, tests(p), added).where(F.size("hits") > 0).select("row", "hits", "items"), "hits"))
+    hits = store(reduce(DataFrame.unionByName, found).groupBy(F.col("row").alias("of")).agg(  # a row has one from each part at most
+        F.flatten(F.collect_list("hits")).alias("hits"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")), "all-hits")
+    rows = maybe_in(rows, F.xxhash64("row"), hits.select(F.xxhash64("of").alias("h")), "some")
+    n_words = F.regexp_count(lower_ascii(F.coalesce("doc.text", F.lit(""))), F.lit(WORD)).cast("long").alias("n_words")
+    none = {f.name: F.array().cast(f.dataType) for f in added.fields[1:]}
+    clean = rows.where("not some").select("doc.*", n_words, *[c.alias(n) for n, c in none.items()])
+    hit = rows.where("some").join(hits, F.col("row") == F.col("of"), "left") \
+        .select("doc.*", n_words, *[F.coalesce(n, c).alias(n) for n, c in none.items()])
+    return clean.unionByName(hit)
 
 
 def hit_words(hits) -> F.Column:
