@@ -13,8 +13,8 @@ a text in no language, made from it: its letters shuffled, random words,
 another script, runs of one letter, symbols, random strings.  These teach one
 more output, ``none``, which is never predicted.  A part of the sample is
 held back to calibrate: one temperature for the probabilities, and the
-probability of ``none`` above which a text is rejected, as high as leaves
-``REJECT`` of the clean texts held back above it.  The shares of both kinds
+probability of ``none`` above which a text is rejected: a half at least, and
+as high as leaves ``REJECT`` of the clean texts held back above it.  The shares of both kinds
 that it rejects stay with the model.
 
 Defined results: null text and text without a letter are ``und`` with
@@ -189,7 +189,8 @@ def train(samples: list[tuple[str | None, np.ndarray, np.ndarray]], seed: int =
     temperature = min(np.geomspace(0.2, 20, 61).tolist(), key=loss)
     none = softmax(raw / temperature)[:, -1]
     clean, made = none[truth < len(langs)], none[truth == len(langs)]
-    threshold = float(np.quantile(clean, 1 - REJECT, method="higher")) if len(clean) else 1.0
+    # none must be likelier than all languages together, however small the sample
+    threshold = max(0.5, float(np.quantile(clean, 1 - REJECT, method="higher"))) if len(clean) else 1.0
     shares = tuple(float((x > threshold).mean()) if len(x) else 0.0 for x in (clean, made))
     return LanguageModel(langs, scores.astype(np.float32), bias, temperature, threshold, shares)
 
