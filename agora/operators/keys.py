@@ -85,20 +85,27 @@ def range_layout(df: DataFrame | Rows, order_by: Sequence[Column | str], num_par
 
 
 def dense_key(df: DataFrame | Rows, order_by: Sequence[Column | str], name: str,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, reused: bool = False) -> DataFrame:
     """Add ``name`` (bigint, 1..n) numbering rows in ``order_by`` order.
 
     ``order_by`` items are column names (ascending, NULLs last) or sort
     expressions such as ``F.col("x").desc_nulls_last()``.  Rows that make up
-    one partition, as counted when they were stored, are numbered right there.
+    one partition, as counted when they were stored, are numbered right there;
+    a result that several plans read (``reused``) is then written, so that it
+    is numbered once.
     """
     path = None
     if not isinstance(df, Rows):
         df, path = stored_rows(df)
     if (num_partitions or df.partitions) == 1:
-        if path:
+        numbered = small_dense_key(df.frame, [*_ordered(order_by), F.col(_ROW)], name).drop(_ROW)
+        if reused:
+            numbered = freeze(numbered, "numbered")
+        if path and reused:
+            remove(numbered.sparkSession, path)
+        elif path:
             in_scratch(path)
-        return small_dense_key(df.frame, [*_ordered(order_by), F.col(_ROW)], name).drop(_ROW)
+        return numbered
     frozen = range_layout(df, order_by, num_partitions)
     if path:
         remove(frozen.sparkSession, path)

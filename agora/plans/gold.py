@@ -179,7 +179,7 @@ def dim_commune(communes: DataFrame, labels: DataFrame, load_ts=None, code: str
         typed_null("string").alias("code_epci"),
         *[c.alias(n) for n, c in _validity(load_ts).items()],
     )
-    keyed = dense_key(snap, ["code_commune", "nom_commune"], "id_commune")
+    keyed = dense_key(snap, ["code_commune", "nom_commune"], "id_commune", reused=True)
     return keyed.select("id_commune", *[c for c in snap.columns])
 
 
