@@ -1,5 +1,6 @@
 """Atomic replacement, storage order across files, buckets, the fitted model."""
 import os
+import threading
 
 import pyarrow.parquet as pq
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 from agora.operators.scoring import CATEGORY, SCENARIO_FEATURES, with_status
 from agora.operators.training import fit_model, known_candidates, load_model, save_model, training_rows
 from agora.plans import pipeline as P
+from agora.plans.inputs import CUSTOMER_SOCIO
+from agora.session import together
 from agora.sources.tables import POINTER, bucketed_table, in_storage_order, read_table, replace_table
 from conftest import rows
 
@@ -77,6 +80,43 @@ def test_equal_keys_lie_in_several_files(spark, tmp_path):
     assert sum(f.endswith(".parquet") for f in os.listdir(tmp_path / "t")) == 4
 
 
+def counted(df, made):
+    """``df`` with an accumulator that counts the rows made."""
+    def run(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(run, df.schema)
+
+
+def test_storage_order_computes_its_rows_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+    df = spark.range(4000).select((F.col("id") % 10).alias("dep"), F.col("id").alias("v"))
+    stored = replace_table(counted(df, made), str(tmp_path / "t"), [("dep", False)])
+    assert made.value == 4000 and rows(stored) == rows(df)
+
+
+def test_rows_of_a_narrow_table_are_dealt_out(spark, tmp_path):
+    spark.range(60_001).withColumnRenamed("id", "c_custkey").coalesce(1).write.option("parquet.block.size", 1 << 30).parquet(f"{tmp_path}/customer.parquet")
+    dealt = CUSTOMER_SOCIO.frame(spark, str(tmp_path))
+    sizes = [r.n for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 3 and max(sizes) <= 25_000 and sum(sizes) == 60_001
+    assert dealt.select("CODGEO").distinct().count() == 60_001
+
+
+def test_jobs_run_together_in_order(spark):
+    met = threading.Barrier(2, timeout=60)  # each waits for the other
+
+    def job(n):
+        met.wait()
+        return spark.range(n).count()
+
+    assert together([lambda: job(3), lambda: job(5)]) == [3, 5]
+    with pytest.raises(ZeroDivisionError):
+        together([lambda: 1 // 0, lambda: 1])
+
+
 def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
     a = bucketed_table(spark.range(100).selectExpr("cast(id as string) as code", "id as x"), "t_bucket_a", "code", 4, str(tmp_path / "a"))
     b = bucketed_table(spark.range(0, 100, 3).selectExpr("cast(id as string) as code", "id as y"), "t_bucket_b", "code", 4, str(tmp_path / "b"))
