@@ -2,7 +2,7 @@
 
 The pipeline indexes and one-hot encodes the candidate, assembles the
 communes' numbers beside it and fits a linear regression of the observed
-votes, in one distributed pass over the training rows.  A fitted pipeline
+votes, in distributed passes over the training rows, computed once.  A fitted pipeline
 is saved as a folder and loaded again to score in batch; nothing but the
 fitted weights ever comes to the driver.
 """
@@ -17,6 +17,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agora.operators.keys import freeze
 from agora.operators.scoring import CATEGORY, SCENARIO_FEATURES, STATUS_SCORED
 
 LABEL = "nb_voix"
@@ -34,7 +35,10 @@ def training_rows(scenarios: DataFrame, results: DataFrame, candidates: DataFram
 
 
 def fit_model(rows: DataFrame, numbers: Sequence[str] = tuple(SCENARIO_FEATURES), label: str = LABEL) -> PipelineModel:
-    """Least squares of ``label`` on the numbers and the candidate."""
+    """Least squares of ``label`` on the numbers and the candidate.  Several
+    stages and passes read the rows, so they are stored first; an open
+    ``scratch`` removes them."""
+    rows = freeze(rows.select(CATEGORY, *numbers, label), "training-rows")
     return Pipeline(stages=[
         StringIndexer(inputCol=CATEGORY, outputCol="candidate_index", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCol="candidate_index", outputCol="candidate_columns"),

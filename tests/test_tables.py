@@ -154,3 +154,11 @@ def test_pipeline_tables_are_versions(spark, tmp_path):
     listed = {"a": spark.range(3).selectExpr("cast(id as string) as code_commune")}
     stored, log = P._store_zone(listed, str(tmp_path), "bronze", [], None)
     assert stored["a"].count() == 3 and log == scans and versions(tmp_path / "bronze" / "a")
+
+
+def test_training_rows_are_computed_once(spark):
+    made = spark.sparkContext.accumulator(0)
+    df = spark.range(300).select(F.concat(F.lit("c"), F.col("id") % 3).alias(CATEGORY), (F.col("id") % 7).cast("double").alias("x"),
+                                 (F.col("id") * 2 + F.col("id") % 3).cast("double").alias("nb_voix"))
+    model = fit_model(counted(df, made), ["x"])
+    assert made.value == 300 and known_candidates(model) == ["c0", "c1", "c2"]
