@@ -8,7 +8,8 @@ vector of scores per row, which is all that prediction reads.
 
 Training takes a bounded sample: about ``TRAIN_ROWS`` labelled documents,
 shared out evenly over the languages (a hot language or source weighs no
-more), each as hashed counts of its whole text.  Every second one also gives
+more), each as hashed counts of its whole text, packed into a few bytes on its
+way to the driver.  Every second one also gives
 a text in no language, made from it: its letters shuffled, random words,
 another script, runs of one letter, symbols, random strings.  These teach one
 more output, ``none``, which is never predicted.  A part of the sample is
@@ -26,6 +27,7 @@ result; columns that clash with the added ones are replaced.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,13 +61,32 @@ def _bytes(text: bytes) -> np.ndarray:
 
 
 def counts_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that a whole text uses, and their shares."""
+    """Rows that a whole text uses, and how often."""
     total = np.zeros(1 << ROWS_BITS, np.int64)
     data = _bytes(text)
     for n in GRAMS:
         total += np.bincount(hashed(data, n), minlength=len(total))
     used = np.flatnonzero(total)
-    return used.astype(np.int32), (total[used] / max(1, total.sum())).astype(np.float32)
+    return used.astype(np.int32), total[used]
+
+
+def shares_of(counts: np.ndarray) -> np.ndarray:
+    return (counts / max(1, counts.sum())).astype(np.float32)
+
+
+def pack_counts(used: np.ndarray, counts: np.ndarray) -> bytes:
+    """``counts_of`` as a few bytes: a sampled text reaches the driver, whose
+    JVM holds several copies of all that is on its way, in a tenth of the room."""
+    steps, counts = np.diff(used, prepend=0).astype("<u2"), counts.astype("<i8")
+    planes = [x.view(np.uint8).reshape(len(x), x.itemsize).T for x in (steps, counts)]  # the high bytes, zeros as a rule, together
+    return zlib.compress(b"".join(x.tobytes() for x in planes), 6)
+
+
+def unpack_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """What ``pack_counts`` was given."""
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(10, -1)
+    steps, counts = (np.ascontiguousarray(x.T).view(kind).ravel() for x, kind in ((planes[:2], "<u2"), (planes[2:], "<i8")))
+    return np.cumsum(steps, dtype=np.int64).astype(np.int32), counts
 
 
 #: First letter and number of letters of some scripts.
@@ -214,20 +235,22 @@ def train_language_model(docs: DataFrame, learn_from: Column, rows: int = TRAIN_
         for batch in batches:
             texts, langs, picks = binary_list(batch, "text"), batch["lang"].to_pylist(), batch["pick"].to_pylist()
             made = [(no_language(t.decode(), p // 2 % KINDS_OF_NONE, np.random.default_rng(p % (1 << 32))), p) for t, p in zip(texts, picks) if p % 2 == 0]
-            found = [counts_of(t) for t in [*texts, *(t.encode() for t, _ in made)]]
+            found = [pack_counts(*counts_of(t)) for t in [*texts, *(t.encode() for t, _ in made)]]
             yield pa.RecordBatch.from_arrays([
                 pa.array(langs + [None] * len(made), pa.string()), pa.array(picks + [p for _, p in made], pa.int64()),
-                pa.array([f[0] for f in found], pa.list_(pa.int32())),
-                pa.array([f[1] for f in found], pa.list_(pa.float32()))], ["lang", "pick", "rows", "shares"])
+                pa.array(found, pa.binary())], ["lang", "pick", "counts"])
 
     got = sample.select("lang", "text", "pick") \
-        .mapInArrow(features, "lang string, pick long, rows array<int>, shares array<float>") \
+        .mapInArrow(features, "lang string, pick long, counts binary") \
         .orderBy("pick").limit(3 * rows).toArrow().combine_chunks()
     if not got.num_rows:
         return None
     order = sorted(range(got.num_rows), key=lambda i: (got["pick"][i].as_py(), got["lang"][i].as_py() or "", got["lang"][i].is_valid))
-    return train([(got["lang"][i].as_py(), got["rows"][i].values.to_numpy(), got["shares"][i].values.to_numpy())
-                  for i in order])
+    samples = []
+    for i in order:
+        used, counts = unpack_counts(got["counts"][i].as_py())
+        samples.append((got["lang"][i].as_py(), used, shares_of(counts)))
+    return train(samples)
 
 
 def identify_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
